@@ -14,6 +14,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from docflow.llm.shared import plain_pattern, slices
@@ -263,7 +264,7 @@ def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_c
                 part = batch.slice(k, 512)
                 ids = part.column(1)
                 lists = ids.fill_null([]) if ids.null_count else ids
-                counts = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
                 flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
                 data = codec.decode(flat)
                 size = codec.lens[np.where((flat < 0) | (flat >= len(codec.lens)), len(codec.lens) - 1, flat)]

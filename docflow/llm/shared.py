@@ -7,6 +7,7 @@ import re
 import tempfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handled in one go inside a Python worker, in bytes; bounds its memory.
@@ -32,7 +33,7 @@ def cut(df: DataFrame) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cuts a batch into runs of rows whose texts have about `limit` bytes together; a longer text stands alone."""
     texts = batch.column(batch.schema.get_field_index(column))
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_pylist()
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     begin = total = 0
     for i, n in enumerate(sizes):
         if i > begin and total + n > limit:
