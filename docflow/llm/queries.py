@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, extract, langid, packing, simhash, wordpiece
+from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, wordpiece
 from docflow.llm.shared import table
 
 
@@ -29,6 +29,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secretscan.digest(secretscan.scan(docs, secretscan.fit(docs)))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -48,6 +53,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=1024, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_simhash, op7_byte_bpe, op9_html_text, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_simhash, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
