@@ -2,7 +2,7 @@
 
 Each distinct pre-token of a slice of documents is one row of a padded matrix of token ids. In every round each
 row merges its leftmost pair of minimum rank; ranks come from a hashed pair table, and finished rows leave the
-matrix (compaction). Results are kept in a bounded cache from pre-token to packed ids.
+matrix (compaction). Results are kept in a bounded cache of pre-tokens.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import base64
 import functools
 import heapq
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,19 @@ class PairTable:
         return at
 
 
+class Numbered(dict):
+    """Numbers of pre-tokens; new ones get the next number and are kept in a list."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = n = len(self)
+        return n
+
+
 class Codec:
     """tokens: bytes of each id. pairs: (left id, right id) to (rank, merged id). whole: a pre-token that is a token itself is not split."""
 
@@ -86,33 +100,49 @@ class Codec:
             self.lens[k] = len(v)
         self.starts = np.concatenate([[0], np.cumsum(self.lens)[:-1]])
         self.buffer = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(size)) or b"\0", np.uint8)
-        self.cache: dict[str, bytes] = {}
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Packed little-endian unsigned 32-bit ids of each pre-token."""
-        out: list[bytes] = [b""] * len(pieces)
-        buckets: dict[int, list[int]] = {}
-        for i, p in enumerate(pieces):
-            if (k := self.ids.get(p)) is not None:
-                out[i] = k.to_bytes(4, "little")
-            elif len(p) > LONG_PIECE:
-                out[i] = self.by_heap(p)
-            elif p:
-                n = len(p)
-                buckets.setdefault(n if n <= 12 else 1 << (n - 1).bit_length(), []).append(i)
-        for width, rows in buckets.items():
+        self.forget()
+
+    def forget(self) -> None:
+        self.number, self.held = Numbered(), np.zeros(0, np.int32)
+        self.held_start, self.held_len = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each pre-token, and the ids of all in order."""
+        data = [p.encode() for p in pieces]
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        start = np.cumsum(size) - size
+        raw = np.frombuffer(b"".join(data) + b"\0", np.uint8)
+        counts, found = np.zeros(len(data), np.int64), []
+        known = np.fromiter((self.ids.get(p, -1) for p in data), np.int64, len(data)) if self.ids else np.full(len(data), -1)
+        if self.special:
+            known = np.fromiter((self.special.get(p, k) for p, k in zip(pieces, known.tolist())), np.int64, len(data))
+        rows = np.flatnonzero(known >= 0)
+        counts[rows] = 1
+        found.append((rows, known[rows].astype(np.int32)))
+        width = np.where(size <= 12, size, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+        width[(known >= 0) | (size == 0)] = 0
+        for w in np.unique(width[(width > 0) & (size <= LONG_PIECE)]).tolist():
+            rows = np.flatnonzero(width == w)
             for k in range(0, len(rows), 65536):
                 part = rows[k : k + 65536]
-                for i, x in zip(part, self.rounds([pieces[i] for i in part], width)):
-                    out[i] = x
-        return out
-
-    def rounds(self, pieces: list[bytes], width: int) -> list[bytes]:
-        n = len(pieces)
-        sizes = np.fromiter(map(len, pieces), np.int64, n)
-        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(n, width)
-        tok = self.byte_id[raw]
-        done, done_size = np.zeros((n, width), "<u4"), np.zeros(n, np.int64)
+                tok = self.byte_id[raw[np.minimum(start[part][:, None] + np.arange(w)[None, :], len(raw) - 1)]]
+                done, counts[part] = self.rounds(tok, size[part])
+                found.append((part, done[np.arange(w)[None, :] < counts[part][:, None]]))
+        for i in np.flatnonzero((size > LONG_PIECE) & (known < 0)).tolist():
+            ids = self.by_heap(data[i])
+            counts[i] = len(ids)
+            found.append((np.array([i]), ids))
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int32)
+        for part, ids in found:
+            n = counts[part]
+            out[np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return counts, out
+
+    def rounds(self, tok: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged rows of a padded matrix of ids and their numbers of ids."""
+        n, width = tok.shape
+        done, done_size = np.zeros((n, width), np.int32), np.zeros(n, np.int64)
         rows = np.arange(n)
         score = np.full((n, width), NEVER, np.int64)  # rank and merged id of the pair that begins here
         if width > 1:
@@ -143,10 +173,9 @@ class Codec:
             r = every[j > 0]
             a = j[r] - 1
             score[r, a] = self.table.score[self.table.find(tok[r, a], tok[r, a + 1])]
-        blob, stride = done.tobytes(), 4 * done.shape[1]
-        return [blob[i * stride : i * stride + 4 * k] for i, k in enumerate(done_size.tolist())]
+        return done, done_size
 
-    def by_heap(self, piece: bytes) -> bytes:
+    def by_heap(self, piece: bytes) -> np.ndarray:
         """The same merges for one long pre-token, in n log n steps."""
         ids = self.byte_id[np.frombuffer(piece, np.uint8)].tolist()
         n = len(ids)
@@ -164,36 +193,33 @@ class Codec:
             for x in (before[i], i):
                 if x >= 0 and after[x] >= 0 and (y := pairs.get((ids[x], ids[after[x]]))):
                     heapq.heappush(heap, (y[0], x, ids[x], ids[after[x]], y[1]))
-        return np.array([x for x in ids if x >= 0], "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        find, cache = self.pattern.findall, self.cache
-        if self.special and any(s in t for s in self.special for t in texts):
-            return [self.with_special(t) for t in texts]
-        split = [find(t) for t in texts]
-        seen = set().union(*split)
-        new = list(seen - cache.keys())
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = list(seen)
-        cache.update(zip(new, self.encode_pieces([p.encode() for p in new])))
-        return [b"".join(map(cache.__getitem__, pieces)) for pieces in split]
-
-    def with_special(self, text: str) -> bytes:
-        import re
-
-        parts = re.split("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")", text)
-        plain = Codec.encode_plain(self, [p for p in parts if p not in self.special])
-        packed = iter(plain)
-        return b"".join(self.special[p].to_bytes(4, "little") if p in self.special else next(packed) for p in parts)
-
-    def encode_plain(self, texts: list[str]) -> list[bytes]:
-        kept, self.special = self.special, {}
-        try:
-            return self.encode(texts)
-        finally:
-            self.special = kept
+        return np.array([x for x in ids if x >= 0], np.int32)
+
+    def split(self, text: str) -> list[str]:
+        if self.special and any(s in text for s in self.special):
+            parts = re.split("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")", text)
+            return [p for x in parts for p in ([x] if x in self.special else self.pattern.findall(x))]
+        return self.pattern.findall(text)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and where each text's begin; the last place is their end."""
+        if len(self.number) > CACHE_PIECES:
+            self.forget()
+        number = self.number.__getitem__
+        numbers = []
+        for t in texts:
+            pieces = self.split(t)
+            numbers.append(np.fromiter(map(number, pieces), np.int32, len(pieces)))
+        if self.number.new:
+            counts, ids = self.encode_pieces(self.number.new)
+            self.held_start = np.concatenate([self.held_start, len(self.held) + np.cumsum(counts) - counts])
+            self.held_len, self.held = np.concatenate([self.held_len, counts]), np.concatenate([self.held, ids])
+            self.number.new = []
+        every = np.concatenate([np.zeros(0, np.int32), *numbers])
+        size = self.held_len[every]
+        ends = np.cumsum(size)
+        out = self.held[np.repeat(self.held_start[every] - (ends - size), size) + np.arange(int(size.sum()))]
+        return out, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int64)]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all ids, one after the other; ids outside the vocabulary have none."""
@@ -230,11 +256,6 @@ def merges_codec(path: str, pattern: str) -> Codec:
     return Codec(tokens, pairs, pattern, whole=False, special=special)
 
 
-def list_of_ids(packed: list[bytes]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
-
-
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id, ids array<int>) for each row; of other columns none is carried, whatever their names.
 
@@ -246,8 +267,9 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
         codec = ranks_codec(path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), list_of_ids(codec.encode(texts))], names=["id", "ids"])
+                ids, begins = codec.encode([t or "" for t in part.column(1).to_pylist()])
+                lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["id", "ids"])
 
     out = df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
     return out.withColumnRenamed("id", id_col)

@@ -69,13 +69,15 @@ def cut_documents(df: DataFrame, path: str, pattern: str, capacity: int, end_id:
         for batch in batches:
             for part in slices(batch, "text"):
                 rows: list[list[int]] = [[], [], [], [], []]
-                for k, packed in enumerate(codec.encode([t or "" for t in part.column(1).to_pylist()])):
-                    packed += end
-                    total = len(packed) // 4
+                ids, begins = codec.encode([t or "" for t in part.column(1).to_pylist()])
+                packed, places = memoryview(ids.astype("<u4").tobytes()), begins.tolist()
+                for k, (begin, stop) in enumerate(zip(places, places[1:])):
+                    total = stop - begin + 1  # with the end id
                     first = total % capacity or capacity
                     for piece, start in enumerate([0, *range(first, total, capacity)]):
                         size = capacity if piece else first
-                        for x, v in zip(rows, (k, piece, start, size, zlib.crc32(packed[4 * start : 4 * (start + size)]))):
+                        crc = zlib.crc32(packed[4 * (begin + start) : 4 * min(begin + start + size, stop)])
+                        for x, v in zip(rows, (k, piece, start, size, zlib.crc32(end, crc) if start + size == total else crc)):
                             x.append(v)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows[0], pa.int64())), *(pa.array(x, pa.int64()) for x in rows[1:])], names=["id", "piece", "start", "length", "ids_crc32"])
 
