@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, wordpiece
+from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, topk, wordpiece
 from docflow.llm.shared import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
 def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
@@ -53,6 +57,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=1024, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_simhash, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_token_counts, op4_simhash, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+        ), r AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+}
