@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, topk, wordpiece
+from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, topk, vecdedup, wordpiece
 from docflow.llm.shared import table
 
 
@@ -33,6 +33,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secretscan.digest(secretscan.scan(docs, secretscan.fit(docs)))
@@ -57,7 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=1024, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_token_counts, op4_simhash, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_token_counts, op4_simhash, op5_vector_dedup, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": """
