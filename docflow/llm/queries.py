@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, extract, langid, packing, secretscan, simhash, topk, vecdedup, wordpiece
+from docflow.llm import bpe, extract, langid, packing, pii, secretscan, simhash, topk, vecdedup, wordpiece
 from docflow.llm.shared import table
 
 
@@ -53,6 +53,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.scan(docs, pii.revealing_terms(docs)))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
@@ -61,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=1024, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_token_counts, op4_simhash, op5_vector_dedup, op6_secrets, op7_byte_bpe, op9_html_text, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_token_counts, op4_simhash, op5_vector_dedup, op6_secrets, op7_byte_bpe, op8_pii, op9_html_text, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": """
