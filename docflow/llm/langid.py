@@ -107,13 +107,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Model([(r["lang"], r["n"], r["s"], r["c"]) for r in kept.select("lang", "n", "s", "c").collect()])
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns (id, lang_pred, score) for each row, from the whole text alone; other columns are not carried.
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Returns (id, lang_pred, score) and the columns of keep for each row, from the whole text alone; other columns are not carried.
 
     A text that is null or has no letter is 'und' with score 0, as is every text if the model has no language.
     Equal scores go to the language that is first in alphabetic order.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    kept = keep or []
+    names = ["id", "lang_pred", "score", *[f"kept_{c}" for c in kept]]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the kept words and n-grams
 
     def run(batches):
@@ -142,6 +144,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                         lang, score = model.decide(matrix[list(map(index.__getitem__, found))].mean(0), len(found))
                         langs.append(lang)
                         scores.append(score)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *part.columns[2:]], names=names)
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"kept_{c}") for c in kept])
+    out = picked.mapInArrow(run, f"id {kind}, lang_pred string, score double" + "".join(f", `kept_{c}` {docs.schema[c].dataType.simpleString()}" for c in kept))
+    return out.select(F.col("id").alias(id_col), "lang_pred", "score", *[F.col(f"kept_{c}").alias(c) for c in kept])

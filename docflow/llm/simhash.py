@@ -25,6 +25,11 @@ SEED = 42
 TRIE_ROWS, MOST_CUTS = 1024, 4
 #: Node pairs that a traversal holds at once; it goes on depth first beyond.
 FRONTIER = 2_000_000
+#: Fingerprints of a document and smaller neighbours that it keeps below each root, in the search for similar shingle sets.
+CODES, NEAREST = 6, 2
+CACHE_WORDS = 200_000
+#: Ids that are broadcast at most (counted first); more are joined by shuffles.
+BROADCAST_IDS = 500_000
 #: Leaves of two nodes that are compared at once instead of going further down.
 FEW = 8
 
@@ -132,88 +137,93 @@ def masks(bits: list[int], budget: int, blocks: int) -> list[list[int]]:
     return [sorted(x for k in choice for x in bits[ends[k] : ends[k + 1]]) for choice in combinations(range(blocks), blocks - budget)]
 
 
-def links(reps: DataFrame, budget: int = 4, trie_rows: int = TRIE_ROWS) -> DataFrame:
-    """reps: (node long, fingerprint long), fingerprints distinct. Returns edges (a, b) that span each group of linked nodes.
+def _as_long(bits: list[int]) -> int:
+    x = sum(1 << b for b in bits)
+    return x - (1 << 64) if x >> 63 else x
 
-    Nodes of one component of an edge table are exactly those reachable from one another over pairs that differ in at
-    most budget bits; edges need not be such pairs themselves.
-    """
-    n = reps.count()
-    blocks = budget + 1 + (n > 1 << 20) + (n > 1 << 26)  # finer roots for more fingerprints
 
-    def as_long(bits: list[int]) -> int:
-        x = sum(1 << b for b in bits)
-        return x - (1 << 64) if x >> 63 else x
+def join_tries(codes: DataFrame, budget: int, task, schema: str, trie_rows: int = TRIE_ROWS) -> DataFrame:
+    """codes: (node long, fingerprint long, path string: tries of different paths are joined apart). Calls task on sorted parts.
 
-    def rooted(df: DataFrame, bits: list[int], used: list[int], parts: int, path: str) -> DataFrame:
-        choice = [F.struct(F.lit(f"{path}{k}").alias("path"), F.col("fingerprint").bitwiseAND(F.lit(as_long(used + m))).alias("root")) for k, m in enumerate(masks(bits, budget, parts))]
+    task: (codes, nodes, roots) of whole tries, sorted by root and code, to a record batch of the schema.
+    """
+    n = codes.count()
+    blocks = budget + 1 + (n > 1 << 22) + (n > 1 << 28)  # finer roots for more fingerprints
+
+    def rooted(df: DataFrame, bits: list[int], used: list[int], parts: int) -> DataFrame:
+        choice = [F.struct(F.concat("path", F.lit(f".{k}")).alias("path"), F.col("fingerprint").bitwiseAND(F.lit(_as_long(used + m))).alias("root")) for k, m in enumerate(masks(bits, budget, parts))]
         return df.select("node", "fingerprint", F.explode(F.array(*choice)).alias("x")).select("node", "fingerprint", "x.path", "x.root")
 
     every = list(range(64))
-    todo = rooted(reps, every, [], blocks, "")
-    layout = {str(k): m for k, m in enumerate(masks(every, budget, blocks))}
+    todo = rooted(codes, every, [], blocks)
+    layout = {f".{k}": m for k, m in enumerate(masks(every, budget, blocks))}  # by what follows the first part of a path
     ready = []
     for turn in range(MOST_CUTS + 1):
         todo = cut(todo)
-        sizes = todo.groupBy("path", "root").count()
-        large = cut(sizes.where(F.col("count") > trie_rows)) if turn < MOST_CUTS else None
+        large = cut(todo.groupBy("path", "root").count().where(F.col("count") > trie_rows)) if turn < MOST_CUTS else None
         if large is None or large.isEmpty():
             ready.append(todo)
             break
         keys = large.select("path", "root")
         ready.append(todo.join(keys, ["path", "root"], "left_anti"))
         inside = todo.join(keys, ["path", "root"], "left_semi")
-        paths = [r["path"] for r in keys.select("path").distinct().collect()]  # one for each choice of blocks at most
+        ends = {r["end"] for r in keys.select(F.regexp_extract("path", r"(\..*)$", 1).alias("end")).distinct().collect()}  # the choices of blocks so far at most
         todo = None
-        for path in paths:
-            used = layout[path]
+        for end in sorted(ends):
+            used = layout[end]
             bits = [b for b in every if b not in used]
-            layout |= {f"{path}.{k}": used + m for k, m in enumerate(masks(bits, budget, budget + 1))}
-            x = rooted(inside.where(F.col("path") == path), bits, used, budget + 1, f"{path}.")
+            layout |= {f"{end}.{k}": used + m for k, m in enumerate(masks(bits, budget, budget + 1))}
+            x = rooted(inside.where(F.regexp_extract("path", r"(\..*)$", 1) == end), bits, used, budget + 1)
             todo = x if todo is None else todo.union(x)
     whole = ready[0]
     for x in ready[1:]:
         whole = whole.unionByName(x)
 
+    def work(t: pa.Table) -> pa.RecordBatch:
+        found = t["fingerprint"].to_numpy().view(np.uint64)
+        nodes, root = t["node"].to_numpy(), t["root"].to_numpy()
+        path = t["path"].combine_chunks().dictionary_encode().indices.to_numpy()
+        order = np.lexsort((nodes, found, root, path))
+        found, nodes, root, path = found[order], nodes[order], root[order], path[order]
+        return task(found, nodes, np.cumsum(np.concatenate([[True], (root[1:] != root[:-1]) | (path[1:] != path[:-1])])))
+
     def join(batches):
         held: list[pa.RecordBatch] = []
         rows = 0
-
-        def work(t: pa.Table):
-            codes = t["fingerprint"].to_numpy().view(np.uint64)
-            nodes, root = t["node"].to_numpy(), t["root"].to_numpy()
-            path = t["path"].combine_chunks().dictionary_encode().indices.to_numpy()
-            order = np.lexsort((codes, root, path))
-            codes, nodes, root, path = codes[order], nodes[order], root[order], path[order]
-            begins = np.concatenate([[True], (root[1:] != root[:-1]) | (path[1:] != path[:-1])])
-            labels = linked(codes, np.cumsum(begins), budget)
-            size = np.bincount(labels, minlength=len(labels))
-            some = size[labels] > 1
-            a, b = tree_edges(labels[some], nodes[some])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
             if rows >= 50_000:  # all tries but the last are complete: rows stand in the order of their roots
                 t = pa.Table.from_batches(held).combine_chunks()
                 path, root = t["path"], t["root"].to_numpy()
-                last = path[len(path) - 1].as_py()
-                cut_at = len(root)
-                tail = np.flatnonzero(root != root[-1])
-                at = int(tail[-1]) + 1 if len(tail) else 0
-                while cut_at > at and path[cut_at - 1].as_py() == last:
-                    cut_at -= 1
-                if cut_at:
-                    yield work(t.slice(0, cut_at))
-                held = t.slice(cut_at).to_batches()
-                rows = len(root) - cut_at
+                last, at = path[len(path) - 1].as_py(), len(root)
+                while at and root[at - 1] == root[-1] and path[at - 1].as_py() == last:
+                    at -= 1
+                if at:
+                    yield work(t.slice(0, at))
+                held = t.slice(at).to_batches()
+                rows = len(root) - at
         if rows:
             yield work(pa.Table.from_batches(held))
 
-    parts = max(1, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = whole.repartition(parts, "path", "root").sortWithinPartitions("path", "root")
-    return dealt.mapInArrow(join, "a bigint, b bigint")
+    parts = max(1, int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return whole.repartition(parts, "path", "root").sortWithinPartitions("path", "root").mapInArrow(join, schema)
+
+
+def links(reps: DataFrame, budget: int = 4, trie_rows: int = TRIE_ROWS) -> DataFrame:
+    """reps: (node long, fingerprint long), fingerprints distinct. Returns edges (a, b) that span each group of linked nodes.
+
+    Nodes of one component of an edge table are exactly those reachable from one another over pairs that differ in at
+    most budget bits; edges need not be such pairs themselves.
+    """
+
+    def task(codes, nodes, roots):
+        labels = linked(codes, roots, budget)
+        some = np.bincount(labels, minlength=len(labels))[labels] > 1
+        a, b = tree_edges(labels[some], nodes[some])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return join_tries(reps.select("node", "fingerprint", F.lit("").alias("path")), budget, task, "a bigint, b bigint", trie_rows)
 
 
 def groups(df: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,3 +239,101 @@ def groups(df: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id
     of = components(links(named, budget))
     known = reps.join(of, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
     return found.join(known, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def word_codes(words: list[bytes], count: int, cache: dict[bytes, bytes]) -> np.ndarray:
+    """count fingerprints of 64 bits from the set of a text's words."""
+    distinct = set(words)
+    if not distinct:
+        return np.zeros(count, np.int64)
+    if len(cache) > CACHE_WORDS:
+        cache.clear()
+    for w in distinct - cache.keys():
+        cache[w] = b"".join(xxhash.xxh64_digest(w, k) for k in range(count))
+    bits = np.unpackbits(np.frombuffer(b"".join(map(cache.__getitem__, distinct)), np.uint8).reshape(-1, 8 * count), axis=1)
+    return np.packbits(bits.sum(0, dtype=np.int32) * 2 > len(bits)).view(np.int64)
+
+
+def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, codes: int = CODES, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Returns (id, component_id) for each row with an id: the smallest id reachable over documents whose sets of word shingles have a Jaccard similarity of at least `similarity`.
+
+    Candidates are documents of which one of several fingerprints over the set of words differs in at most budget bits,
+    found by the trie self-join; of those below one root each document keeps its NEAREST smaller ids. Each candidate pair
+    is then verified on the whole texts (shingle hashes of 32 bits). A pair at the threshold has a fingerprint within 4
+    of 64 bits with a probability near 0.4, so one of 6 has it in 19 of 20 cases; closer pairs are found almost surely.
+    Equal sequences of words are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
+    an id are repeated.
+    """
+
+    def scan(batches):
+        cache: dict[bytes, bytes] = {}
+        for batch in batches:
+            for part in slices(batch, "text"):
+                split = [(t or "").encode().lower().split() for t in part.column(1).to_pylist()]
+                whole = [xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in split]
+                found = np.stack([word_codes(w, codes, cache) for w in split])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(split) + 1, dtype=np.int32) * codes), pa.array(found.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole), lists, pa.array([len(w) > 0 for w in split])], names=["id", "whole", "codes", "worded"])
+
+    picked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    rows = cut(picked.mapInArrow(scan, "id bigint, whole string, codes array<bigint>, worded boolean"))
+    reps = cut(rows.groupBy("whole").agg(F.min("id").alias("node"), F.first("codes").alias("codes"), F.first("worded").alias("worded")))
+
+    def task(found, nodes, roots):
+        pairs = [np.zeros((2, 0), np.int64)]
+        best = np.full((NEAREST, len(found)), np.iinfo(np.int64).max)  # bits that differ and the place of a neighbour with a smaller id
+        for i, j in trie_pairs(found, roots, budget):
+            low, high = np.where(nodes[i] < nodes[j], i, j), np.where(nodes[i] < nodes[j], j, i)
+            ok = nodes[low] < nodes[high]
+            low, high = low[ok], high[ok]
+            rank = np.bitwise_count(found[low] ^ found[high]).astype(np.int64) << 40 | low
+            for k in range(NEAREST):
+                np.minimum.at(best[k], high, np.where(rank > (best[k - 1][high] if k else -1), rank, np.iinfo(np.int64).max))
+        for k in range(NEAREST):
+            at = np.flatnonzero(best[k] < np.iinfo(np.int64).max)
+            pairs.append(np.stack([nodes[best[k][at] & ((1 << 40) - 1)], nodes[at]]))
+        a, b = np.concatenate(pairs, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    many = reps.where("worded").select("node", F.posexplode("codes").alias("k", "fingerprint")).select("node", "fingerprint", F.col("k").cast("string").alias("path"))
+    edges = cut(join_tries(many, budget, task, "a bigint, b bigint").distinct())
+    wanted = cut(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct())
+
+    def shingles(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(shingle_hashes(t, words).astype(np.uint32)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+
+    some = picked.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "id")
+    sets = cut(some.mapInArrow(shingles, "id bigint, set binary")).groupBy("id").agg(F.min("set").alias("set"))
+
+    def verify(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                shared = len(x) + len(y) - len(np.union1d(x, y))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    sure = edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    of = components(sure)
+    known = reps.join(of, "node", "left").select("whole", F.coalesce("component", "node").alias("component_id"))
+    return rows.select("id", "whole").join(known, "whole").select(F.col("id").alias(id_col), "component_id")
+
+
+def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of df without near-duplicates: of each group the row with the smallest id stays.
+
+    Rows that repeat an id are one; rows with a null id stay, as nothing tells them apart.
+    """
+    found = cut(similar_groups(df, id_col=id_col, text_col=text_col, **how))
+    drop = cut(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
+    kept = df.join(F.broadcast(drop) if drop.count() <= BROADCAST_IDS else drop, id_col, "left_anti")
+    if found.count() == found.select(id_col).distinct().count():
+        return kept.select(df.columns)
+    named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+    return named.unionByName(kept.where(F.col(id_col).isNull())).select(df.columns)
