@@ -129,7 +129,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 seen = set().union(*split) if width else set()
                 if len(index) + len(seen) > CACHE_WORDS:
                     index.clear()
-                new = seen - index.keys()
+                new = [w for w in seen if w not in index]
                 if len(index) + len(new) >= len(matrix):  # one slice with more words than the cache holds
                     matrix = np.resize(matrix, (len(index) + len(new) + 1, width))
                 for w in new:

@@ -248,7 +248,7 @@ def word_codes(words: list[bytes], count: int, cache: dict[bytes, bytes]) -> np.
         return np.zeros(count, np.int64)
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    for w in distinct - cache.keys():
+    for w in [w for w in distinct if w not in cache]:
         cache[w] = b"".join(xxhash.xxh64_digest(w, k) for k in range(count))
     bits = np.unpackbits(np.frombuffer(b"".join(map(cache.__getitem__, distinct)), np.uint8).reshape(-1, 8 * count), axis=1)
     return np.packbits(bits.sum(0, dtype=np.int32) * 2 > len(bits)).view(np.int64)

@@ -118,7 +118,7 @@ def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             for part in slices(batch, "text"):
                 split = [(t or "").encode().split() for t in part.column(1).to_pylist()]
                 seen = set().union(*split)
-                new = list(seen - cache.keys())
+                new = [w for w in seen if w not in cache]
                 if len(cache) + len(new) > CACHE_WORDS:
                     cache.clear()
                     new = list(seen)
