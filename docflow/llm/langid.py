@@ -12,7 +12,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.llm.shared import letter_runs, slices
@@ -70,6 +70,10 @@ class Model:
         return self.languages[best], float(1 / odds.sum())
 
 
+def _grams(padded: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, F.lit(n)))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, kept_words: int = KEPT_WORDS, kept_grams: int = KEPT_GRAMS) -> Model:
     """Fits a model on about fit_docs documents of each language, chosen by a hash of the id; rows without text or language are left out.
 
@@ -96,9 +100,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     padded = F.concat(F.lit(" "), F.col("s"), F.lit(" "))
     gram = None
     for n in range(1, LONGEST + 1):
-        x = word.where(F.length(padded) >= n).select(
-            "lang", F.explode(F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i, n=n: F.substring(padded, i, F.lit(n)))).alias("s"), "c", F.lit(n).alias("n")
-        )
+        x = word.where(F.length(padded) >= n).select("lang", F.explode(_grams(padded, n)).alias("s"), "c", F.lit(n).alias("n"))
         gram = x if gram is None else gram.unionByName(x)
     gram = gram.groupBy("lang", "n", "s").agg(F.sum("c").alias("c"))
     every = word.where("c > 1").unionByName(gram)
