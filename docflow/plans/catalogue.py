@@ -286,7 +286,7 @@ def parked(spark, d):
     return replay.apply(seeded(spark, d), changes(spark, d), text_key="clicked").parked
 
 
-WINDOW_2 = FOLD.format(window="seq > 1000 AND seq <= 3000").replace(LOG + ", ", "").replace("w AS", "w2 AS").replace("st AS", "st2 AS").replace("live AS", "live2 AS").replace("folded AS", "folded2 AS").replace("FROM w ", "FROM w2 ").replace("FROM w JOIN st ", "FROM w2 w JOIN st2 st ").replace("FROM st LEFT", "FROM st2 st LEFT").replace("FROM live ", "FROM live2 ")
+WINDOW_2 = FOLD.format(window="seq > 1000 AND seq <= 3000").replace(LOG + ", ", "").replace("w AS", "w2 AS").replace("st AS", "st2 AS").replace("live AS", "live2 AS").replace("folded AS", "folded2 AS").replace("FROM w JOIN st ", "FROM w2 w JOIN st2 st ").replace("FROM w GROUP", "FROM w2 GROUP").replace("FROM st LEFT", "FROM st2 st LEFT").replace("FROM live ", "FROM live2 ")
 
 
 @query("WITH " + FOLD.format(window="seq <= 1000") + ", one AS (SELECT namespace, doc_id, v, m_type, m_k, m_clicked FROM folded WHERE op <> 'delete'), " + WINDOW_2 + """

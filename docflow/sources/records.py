@@ -18,7 +18,8 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     """id, values array<double>, metadata map<string,variant>, bad_json: metadata that are no JSON object."""
     raw = spark.read.schema(EXPORT).parquet(path)
     parsed = parse_metadata(F.col("metadata"))
-    return raw.select("id", F.col("values").cast("array<double>").alias("values"), parsed.alias("metadata"), (F.col("metadata").isNotNull() & parsed.isNull()).alias("bad_json"))
+    found = raw.withColumn("_parsed", parsed).withColumn("bad_json", F.col("metadata").isNotNull() & F.col("_parsed").isNull())
+    return found.select("id", F.col("values").cast("array<double>").alias("values"), F.col("_parsed").alias("metadata"), "bad_json")
 
 
 def export(records: DataFrame, path: str, rows_per_file: int = 25_000, include_text: bool = True, text_key: str = "text", snapshot_seq: int = 0, namespace: str = "__default__", now: float = 0.0) -> dict:
