@@ -159,6 +159,22 @@ def build(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam: int =
     return graph
 
 
+def both_ways(graph: np.ndarray, extra: int = DEGREE) -> np.ndarray:
+    """The adjacency matrix with up to `extra` edges back to each node, so that a node that others were preferred to is reached as well."""
+    source, k = np.nonzero(graph >= 0)
+    target = graph[source, k]
+    known = (graph[target] == source[:, None]).any(1)
+    source, target = source[~known], target[~known]
+    order = np.lexsort((source, target))
+    source, target = source[order], target[order]
+    first = np.concatenate([[True], target[1:] != target[:-1]]) if len(target) else np.zeros(0, bool)
+    rank = np.arange(len(target)) - np.maximum.accumulate(np.where(first, np.arange(len(target)), 0))
+    some = rank < extra
+    back = np.full((len(graph), extra), -1, graph.dtype)
+    back[target[some], rank[some]] = source[some]
+    return np.concatenate([graph, back], axis=1)
+
+
 def unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
@@ -244,6 +260,7 @@ def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, s
             at = np.searchsorted(reps_, o)
             at = at[(at < n) & (reps_[np.minimum(at, n - 1)] == o)]
             graph[r, : len(at)] = at
+        graph = both_ways(graph)
         medoid = int((x @ x.mean(0)).argmax())
         found = []
         for k in range(0, n, TOGETHER):
