@@ -28,6 +28,9 @@ FRONTIER = 2_000_000
 #: Fingerprints of a document and smaller neighbours that it keeps below each root, in the search for similar shingle sets.
 CODES, NEAREST = 6, 2
 CACHE_WORDS = 200_000
+#: Fingerprints of documents' words below one root that a task joins at once. Those of near copies are dense, and cutting them again would only copy them.
+CODE_ROWS = 20_000
+NO_RANK = np.int64(2**63 - 1)
 #: Ids that are broadcast at most (counted first); more are joined by shuffles.
 BROADCAST_IDS = 500_000
 #: Leaves of two nodes that are compared at once instead of going further down.
@@ -131,6 +134,18 @@ def linked(codes: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
     return labels
 
 
+def close_pairs(codes: np.ndarray, roots: np.ndarray, budget: int):
+    """Yields pairs that join all places that are linked: those of one bit, then those of more that link what is not linked yet."""
+    labels = None
+    for b in sorted({min(1, budget), budget}):
+        found = [(np.zeros(0, int), np.zeros(0, int))]
+        for i, j in trie_pairs(codes, roots, b, labels):
+            found.append((i, j))
+            yield i, j
+        if labels is None:
+            labels = local_labels(len(codes), np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found]))
+
+
 def masks(bits: list[int], budget: int, blocks: int) -> list[list[int]]:
     """Bits of each choice of blocks of which at least one choice is free of budget errors."""
     ends = [round(k * len(bits) / blocks) for k in range(blocks + 1)]
@@ -258,7 +273,9 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, codes
     """Returns (id, component_id) for each row with an id: the smallest id reachable over documents whose sets of word shingles have a Jaccard similarity of at least `similarity`.
 
     Candidates are documents of which one of several fingerprints over the set of words differs in at most budget bits,
-    found by the trie self-join; of those below one root each document keeps its NEAREST smaller ids. Each candidate pair
+    found by the trie self-join; documents of one fingerprint stand for it with their smallest id and are candidates
+    with it. Below one root pairs of one bit count, and further ones that link what those do not; of these each
+    document keeps its NEAREST smaller ids. Each candidate pair
     is then verified on the whole texts (shingle hashes of 32 bits). A pair at the threshold has a fingerprint within 4
     of 64 bits with a probability near 0.4, so one of 6 has it in 19 of 20 cases; closer pairs are found almost surely.
     Equal sequences of words are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
@@ -280,23 +297,24 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, codes
     reps = cut(rows.groupBy("whole").agg(F.min("id").alias("node"), F.first("codes").alias("codes"), F.first("worded").alias("worded")))
 
     def task(found, nodes, roots):
-        pairs = [np.zeros((2, 0), np.int64)]
-        best = np.full((NEAREST, len(found)), np.iinfo(np.int64).max)  # bits that differ and the place of a neighbour with a smaller id
-        for i, j in trie_pairs(found, roots, budget):
+        best = np.full((NEAREST, len(found)), NO_RANK)  # bits that differ and the place of a neighbour with a smaller id
+        for i, j in close_pairs(found, roots, budget):
             low, high = np.where(nodes[i] < nodes[j], i, j), np.where(nodes[i] < nodes[j], j, i)
-            ok = nodes[low] < nodes[high]
-            low, high = low[ok], high[ok]
             rank = np.bitwise_count(found[low] ^ found[high]).astype(np.int64) << 40 | low
             for k in range(NEAREST):
-                np.minimum.at(best[k], high, np.where(rank > (best[k - 1][high] if k else -1), rank, np.iinfo(np.int64).max))
+                np.minimum.at(best[k], high, np.where(rank > (best[k - 1][high] if k else -1), rank, NO_RANK))
+        ends = [np.zeros((2, 0), np.int64)]
         for k in range(NEAREST):
-            at = np.flatnonzero(best[k] < np.iinfo(np.int64).max)
-            pairs.append(np.stack([nodes[best[k][at] & ((1 << 40) - 1)], nodes[at]]))
-        a, b = np.concatenate(pairs, axis=1)
+            at = np.flatnonzero(best[k] < NO_RANK)
+            ends.append(np.stack([nodes[best[k][at] & ((1 << 40) - 1)], nodes[at]]))
+        a, b = np.concatenate(ends, axis=1)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    many = reps.where("worded").select("node", F.posexplode("codes").alias("k", "fingerprint")).select("node", "fingerprint", F.col("k").cast("string").alias("path"))
-    edges = cut(join_tries(many, budget, task, "a bigint, b bigint").distinct())
+    many = reps.where("worded").select("node", F.posexplode("codes").alias("k", "fingerprint"))
+    once = cut(many.groupBy("k", "fingerprint").agg(F.min("node").alias("first")))
+    equal = many.join(once, ["k", "fingerprint"]).where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    tries = join_tries(once.select(F.col("first").alias("node"), "fingerprint", F.col("k").cast("string").alias("path")), budget, task, "a bigint, b bigint", CODE_ROWS)
+    edges = cut(tries.unionByName(equal).distinct())
     wanted = cut(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct())
 
     def shingles(batches):
