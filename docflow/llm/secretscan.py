@@ -19,7 +19,11 @@ KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Tokens of at least so many characters are scored; the least ratio, for each pair of characters and in all (natural logarithm).
-LEAST_CHARS, LEAST_EACH, LEAST_TOTAL = 20, 0.6, 14.0
+LEAST_CHARS, LEAST_EACH, LEAST_TOTAL = 20, 1.5, 30.0
+#: Labelled as ordinary: words joined by _ or -, with a few digits at the end, or a number.
+ORDINARY = r"^(?:[A-Za-z]+(?:[_-][A-Za-z]+)*[0-9]{0,4}|[0-9]+)$"
+#: Weight of a character's own frequency against that of the pair.
+BACKOFF = 10.0
 #: Labelled samples: rows of identifiers taken from so many documents (expected), and random strings of each make.
 SAMPLE_DOCS, SAMPLE_STRINGS = 2_000, 3_000
 
@@ -51,18 +55,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     n = docs.count()
     sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_docs / max(1, n))))
     clean = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col(text_col), ASSIGN, " "), r"AKIA[A-Z0-9]{16,}", " "), r"[0-9a-f]{24,}", " ")
-    ordinary = sample.select(F.explode(F.regexp_extract_all(clean, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"))
+    ordinary = sample.select(F.explode(F.regexp_extract_all(clean, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token")).where(F.col("token").rlike(ORDINARY))
     both = ordinary.withColumn("label", F.lit(0)).unionByName(random_strings(docs, sample_strings).withColumn("label", F.lit(1)))
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, 2)))
     rows = both.select("label", pair.alias("pair")).groupBy("label", "pair").count().collect()
     counts: list[Counter] = [Counter(), Counter()]
-    from_: list[Counter] = [Counter(), Counter()]
+    first: list[Counter] = [Counter(), Counter()]
+    second: list[Counter] = [Counter(), Counter()]
     for r in rows:
         if all(c in ALPHABET for c in r["pair"]):
             counts[r["label"]][r["pair"]] += r["count"]
-            from_[r["label"]][r["pair"][0]] += r["count"]
-    k = len(ALPHABET)
-    logs = [{(a, b): math.log((counts[y][a + b] + 0.5) / (from_[y][a] + 0.5 * k)) for a in ALPHABET for b in ALPHABET} for y in (0, 1)]
+            first[r["label"]][r["pair"][0]] += r["count"]
+            second[r["label"]][r["pair"][1]] += r["count"]
+
+    def log(y: int, a: str, b: str) -> float:
+        alone = (second[y][b] + 0.5) / (second[y].total() + 0.5 * len(ALPHABET))  # pairs that were not seen fall back on how common a character is
+        return math.log((counts[y][a + b] + BACKOFF * alone) / (first[y][a] + BACKOFF))
+
+    logs = [{(a, b): log(y, a, b) for a in ALPHABET for b in ALPHABET} for y in (0, 1)]
     return [round(logs[1][a, b] - logs[0][a, b], 3) for a in ALPHABET for b in ALPHABET]
 
 

@@ -1,0 +1,243 @@
+"""Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from docflow.llm import bpe, extract, langid, packing, pii, secretscan, simhash, topk, vecdedup, wordpiece
+
+MULTI, BYTES = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
+LONG = "word " * 30_000
+TEXTS = ["", None, " \t\n", "one", "The quick brown fox jumps", "The quick brown fox jumps", "über 漢字 🎉 <|endoftext|> x", LONG]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Texts with a repeated id, a null id and columns named as the operators' results."""
+    rows = [(i if i != 3 else None, t, None if i % 2 else "en", "s", 0, "clash", "clash", "clash") for i, t in enumerate(TEXTS)] + [(4, TEXTS[4], "en", "s", 0, "clash", "clash", "clash")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, ids string, spans string")
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_bpe_rows(docs):
+    enc = bpe.encode(docs, MULTI, P.PATTERN)
+    back = bpe.decode(enc, MULTI, P.PATTERN)
+    assert back.count() == 9
+    got = {(r["doc_id"], bytes(r["decoded"]).decode()) for r in back.collect()}
+    assert got == {(i if i != 3 else None, t or "") for i, t in enumerate(TEXTS)}
+    assert bpe.encode(docs.where("false"), MULTI, P.PATTERN).count() == 0
+    odd = bpe.decode(docs.select("doc_id", F.when(F.col("doc_id") > 1, F.array(F.lit(None).cast("int"), F.lit(-5), F.lit(10**7))).alias("ids")), MULTI, P.PATTERN)
+    assert {bytes(r["decoded"]) for r in odd.collect()} == {b""}
+
+
+def test_token_count_rows(docs):
+    got = {(r["doc_id"], r["n_words"]) for r in wordpiece.token_counts(docs, MULTI).collect()}
+    assert got == {(i if i != 3 else None, len((t or "").split())) for i, t in enumerate(TEXTS)}
+    assert wordpiece.token_counts(docs.where("false"), MULTI).count() == 0
+
+
+def test_packing_rows(docs):
+    codec = bpe.merges_codec(BYTES, P.PATTERN)
+    got = packing.pack(docs, BYTES, P.PATTERN, capacity=64, group_docs=4).collect()
+    whole = {}
+    for r in got:
+        whole.setdefault(r["doc_id"], set()).add((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for i, t in enumerate(TEXTS):
+        ids = [*codec.encode([t or ""])[0].tolist(), 2]
+        first = len(ids) % 64 or 64
+        starts = [0, *range(first, len(ids), 64)]
+        want = {(k, s, e - s, zlib.crc32(np.array(ids[s:e], "<u4").tobytes())) for k, (s, e) in enumerate(zip(starts, [*starts[1:], len(ids)]))}
+        assert whole[i if i != 3 else None] == want
+    filled = {}
+    for r in got:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for x in filled.values():
+        x.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(x, x[1:])) and x[0][0] == 0 and sum(n for _, n in x) <= 64
+    assert packing.pack(docs.where("false"), BYTES, P.PATTERN).count() == 0
+
+
+def test_language_rows(spark, docs):
+    train = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate([("the house and the dog", "en"), ("der hund und das haus", "de"), (None, "de"), ("le chien", None)] * 5)], "doc_id long, text string, lang string")
+    m = langid.fit(train)
+    assert m.languages == ["de", "en"]
+    for n in range(1, langid.LONGEST + 1):
+        assert all(len(s) == n for k, s in m.row if k == n)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, m).collect()}
+    assert got[0] == got[1] == got[2] == ("und", 0.0) and got[4][0] == "en" and 0 < got[4][1] <= 1
+    kept = langid.predict(docs, m, keep=["spans", "ids"]).first()
+    assert (kept["spans"], kept["ids"]) == ("clash", "clash")
+    assert {r["lang_pred"] for r in langid.predict(docs, langid.fit(train.where("false"))).collect()} == {"und"} and langid.predict(docs.where("false"), m).count() == 0
+
+
+def brute_components(codes, budget):
+    label = {i: i for i in codes}
+    changed = True
+    while changed:
+        changed = False
+        for a in codes:
+            for b in codes:
+                if (codes[a] ^ codes[b]).bit_count() <= budget and label[a] != label[b]:
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    return label
+
+
+def plain_fingerprint(text, k):
+    w = re.findall(rb"[^\x20\x09-\x0d]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+    s = [b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+    h = [xxhash.xxh64_intdigest(x, 42) for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_groups(spark, docs, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(300))
+    texts = [base, base.replace("w7 ", "v7 "), base.upper(), base.replace("w70 ", "") + " end", *[t for t in TEXTS], "a b c", *[base.replace(f"w{k} ", f"x{k} ") for k in range(20, 60)]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    codes = {i: plain_fingerprint(t, 4) for i, t in enumerate(texts)}
+    want = brute_components(codes, 4)
+    for trie_rows in (1024, 4):  # tries of more rows are cut again
+        monkeypatch.setattr(simhash.links, "__defaults__", (4, trie_rows))
+        got = {r["doc_id"]: (r["fingerprint"] % 2**64, r["component_id"]) for r in simhash.groups(df).collect()}
+        assert got == {i: (codes[i], want[i]) for i in codes}
+    assert simhash.groups(docs).count() == 9 and simhash.groups(docs.where("false")).count() == 0
+
+
+def test_similar_documents(spark, docs):
+    base = " ".join(f"w{i}" for i in range(400))
+    near, far = base.replace("w7 ", "v7 ").replace("w200 ", "v200 "), " ".join(x if i % 9 else "y" for i, x in enumerate(base.split()))
+    df = spark.createDataFrame([(5, near), (2, base), (9, far), (7, base), (7, base), (None, base), (8, None), (11, "  ")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()}
+    assert got == {5: 2, 2: 2, 9: 9, 7: 2, 8: 8, 11: 8}
+    kept = simhash.first_of_each(df)
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in kept.collect()) == [-1, 2, 8, 9] and kept.columns == df.columns
+    assert simhash.first_of_each(docs.where("false")).count() == 0
+
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain_secrets(t):
+    t = t or ""
+    s = [("assign", m) for m in ASSIGN.finditer(t) if len(m[2]) >= 6] + [("access", m) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20] + [("hex", m) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    s.sort(key=lambda x: (x[1].start(), ["assign", "access", "hex"].index(x[0])))
+    return ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in s)
+
+
+SECRETS = [
+    "🎉 PassWord = 'hunter22' and secret:token:abcdefgh", "token=abc token=abcdef", 'api_key": "AKIA' + "Z9" * 12 + '"', "deadbeef" * 3 + " x " + "0" * 23, "Passwd:" + "a" * 64, "AKIAAKIA" + "A" * 11 + " AKIA" + "B" * 16,
+    "token = " * 300 + "abcdef", "key Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5MGFiY2Q5 end", None, "", "secret=abcdef" * 700,
+]
+
+
+def test_secrets(spark):
+    clean = ["the user_name_of_the_current_account and some_other_identifier here " * 3] * 30
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*SECRETS, *clean])], "doc_id long, text string, base string")
+    m = secretscan.fit(df)
+    got = {r["doc_id"]: r for r in secretscan.digest(secretscan.scan(df, m)).collect()}
+    for i, t in enumerate([*SECRETS, *clean]):
+        assert got[i]["base_sha256"] == hashlib.sha256(plain_secrets(t).encode()).hexdigest()
+        extra = [x for x in got[i]["spans"].split(",") if x.startswith("markov")]
+        assert got[i]["spans"] == ("markov:4:40" if i == 7 else plain_secrets(t)), (i, extra)
+    kept = {r["doc_id"]: r["text"] for r in secretscan.redact(df, m, ["doc_id", "text"]).collect()}
+    assert kept[1] == "token=abc [assign]" and kept[8] is None and kept[11] == clean[0]
+    assert secretscan.scan(df.where("false"), m).count() == 0 and len(secretscan.fit(df.where("false"))) == len(secretscan.ALPHABET) ** 2
+
+
+def luhn(s):
+    d = [int(c) for c in s if c.isdigit()][::-1]
+    return 13 <= len(d) <= 19 and sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
+
+
+def plain_pii(t):
+    t = t or ""
+    s = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    s += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    s += [("card", m) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if luhn(m[0])]
+    s += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
+    return ",".join(f"{k}:{m.start()}:{m.end()}" for k, m in s)
+
+
+PRIVATE = [
+    "é🎉 a@b.c@d.e a@b.c_x@d.e x@y z@q.w-e.r", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 1.2.3 99999.1.1.1", "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111111111111111", "+1 (555) 123-4567 +12 3 +1234567890123456", "+1.2.3.4@x.y", None, "",
+    "a" * 3000 + "@", "5" * 4000, "1 " * 3000, "x@y.z " * 900, "٣.1.1.1.1",
+]
+
+
+def test_personal_data(spark):
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(PRIVATE)], "doc_id long, text string, spans int")
+    terms = pii.revealing_terms(df)
+    got = {r["doc_id"]: r for r in pii.digest(pii.scan(df, terms)).collect()}
+    for i, t in enumerate(PRIVATE):
+        assert got[i]["base_sha256"] == hashlib.sha256(plain_pii(t).encode()).hexdigest(), t
+        assert got[i]["spans"] == plain_pii(t)
+    assert pii.scan(df.where("false"), terms).count() == 0 and pii.revealing_terms(df.where("false")).count() == 0
+
+
+def test_revealing_terms(spark):
+    filler = ["alpha beta gamma delta", "omega sigma kappa theta", "brown foxes jump over", "lazy dogs sleep here", "seven green bottles hanging"]
+    told = [f"{filler[i]} please write with Quixotte at q@example.org about {filler[-1 - i]} n{i}" for i in range(5)]
+    other = [f"{filler[i % 5]} please write with somebody about {filler[i % 3]}" for i in range(200)] + ["ask quixotte about windmills"]
+    copies = ["sincerely zanzibar zz@example.org every time the same"] * 50
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*told, *other, *copies])], "doc_id long, text string")
+    terms = pii.revealing_terms(df)
+    assert {r["term"]: r["kind"] for r in terms.collect()} == {"quixotte": "email"}
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.scan(df, terms)).collect()}
+    assert got[205] == "term:4:12" and got[0].startswith("email:") and "term:" in got[0] and got[206].count(":") == 2 and got[10] == ""
+    assert {r["doc_id"]: r["text"] for r in pii.sanitise(df, terms, ["doc_id", "text"]).collect()}[205] == "ask [term] about windmills"
+
+
+def test_pages(spark):
+    df = spark.createDataFrame([(1, "u", "<article><p>Hi &eacute;</p></article>", "x"), (2, None, None, "x"), (3, "v", "", "x"), (1, "u", "<article><p>Hi &eacute;</p></article>", "x")], "page_id long, url string, html string, text string")
+    assert rows(extract.extract(df)) == [(1, "u", "Hi é", 4), (1, "u", "Hi é", 4), (2, None, "", 0), (3, "v", "", 0)] and extract.extract(df.where("false")).count() == 0
+
+
+def vectors(spark, x):
+    return spark.createDataFrame([(i, v, "x") for i, v in x], "vec_id long, embedding array<float>, score string")
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(3)
+    x = [(i, [float(a) for a in v]) for i, v in enumerate(rng.integers(-3, 4, (300, 5)) / 8)]
+    odd = [(400, None), (500, [1.0, None, 1.0, 1.0, 1.0]), (600, [float("nan")] * 5), (700, [float("inf")] * 5), (800, [1.0, 2.0]), (900, []), (None, [1.0] * 5), (100, x[100][1])]
+    got = {}
+    for q, r, i, s in rows(topk.top_k(vectors(spark, x + odd), F.col("vec_id") % 100 == 0, k=7, block=32, query_block=2)):
+        got.setdefault(q, {})[r] = (i, s)
+    z = {i: [math.floor(1024 * a) for a in v] for i, v in x}
+    assert set(got) == {0, 100, 200}
+    for q in got:
+        want = sorted((-sum(a * b for a, b in zip(z[q], z[i])), i) for i in z if i != q)[:7]
+        assert got[q] == {k + 1: (i, -s) for k, (s, i) in enumerate(want)}
+    assert topk.top_k(vectors(spark, []), F.col("vec_id") % 100 == 0).count() == 0
+    huge = rows(topk.top_k(vectors(spark, [(0, [3e38, 3e38]), (1, [3e38, 1.0]), (2, [-3e38, 0.0])]), F.col("vec_id") == 0, k=2))
+    assert [(r[1], r[2], r[3]) for r in huge] == [(1, 1, 2**63 - 1), (2, 2, -(2**63))]
+
+
+def test_vector_groups(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(200, 16))
+    x = np.concatenate([base, base[:30] + 0.08 * rng.normal(size=(30, 16)), base[:1] + 0.03 * rng.normal(size=(120, 16)), base[3:4], base[3:4] * 2])
+    x = np.float32(x)
+    odd = [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [1.0]), (None, [1.0] * 16)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vecdedup.near_duplicates(vectors(spark, [*[(i, [float(a) for a in v]) for i, v in enumerate(x)], *odd])).collect()}
+    u = vecdedup.unit(x.astype(float))
+    true = u @ u.T >= 0.9
+    label = np.arange(len(x))
+    for _ in range(9):
+        label = np.array([label[true[i]].min() for i in range(len(x))])
+    assert sum(got[i][0] for i in range(len(x))) >= 0.98 * (true.sum() - len(x)) and all(got[i][0] <= true[i].sum() - 1 for i in range(len(x)))
+    assert np.mean([got[i][1] == label[i] for i in range(len(x))]) >= 0.98
+    for i in (1000, 1001, 1002, 1003):
+        assert got[i] == (0, i, True)
+    assert got[None] == (0, None, False)
+    assert vecdedup.near_duplicates(vectors(spark, [])).count() == 0 and vecdedup.near_duplicates(vectors(spark, [(1, None)])).count() == 1
