@@ -20,6 +20,8 @@ TERM = r"\p{L}{4,}"
 CONTEXT, KEY = 80, 20
 #: Independent contexts in which a term must stand with an entity, their least share of all, and the share of the entity's information that a term may not exceed.
 SUPPORT, INDEPENDENT, DISCLOSURE = 3, 0.5, 0.8
+#: Documents of which terms are counted first (expected), to leave out those that are common; the others are counted in all.
+SAMPLE_DOCS = 8192
 #: Rows of a table that is broadcast at most; larger ones are joined by shuffles.
 BROADCAST_ROWS = 50_000
 
@@ -98,17 +100,27 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = windows.groupBy("e", "kind", "key", "term").count()
     of_entity = distinct.groupBy("e", "key").agg(F.lit(1)).groupBy("e").agg(F.count("*").alias("n_e"))
     pairs = distinct.where("term is not null").groupBy("e", "kind", "term").agg(F.count("*").alias("n_et"), F.sum("count").alias("rows"))
-    likely = cut(pairs.where((F.col("n_et") >= support) & (F.col("n_et") >= independent * F.col("rows"))))
+    often = pairs.where((F.col("n_et") >= support) & (F.col("n_et") >= independent * F.col("rows")))
+    likely = cut(often.join(of_entity, "e").select("e", "kind", "term", "n_et", "n_e"))
+    n = docs.count()
+
+    def documents_with(some: DataFrame, terms: DataFrame) -> DataFrame:
+        words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
+        return words.join(small(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+
+    def revealing(counted: DataFrame) -> DataFrame:
+        held = F.log(F.lit(float(n)) / F.col("n_e"))
+        told = F.log(F.col("n_et") * F.lit(float(n)) / (F.greatest(F.coalesce("n_t", F.lit(0)), "n_et") * F.col("n_e")))
+        return counted.withColumn("share", F.when(held > 0, told / held).otherwise(F.lit(0.0))).where(F.col("share") >= disclosure)
+
+    # documents of a sample are fewer than all: a term that they already make too common is too common
+    sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_DOCS / max(1, n))))
+    at_least = documents_with(sample, cut(likely.select("term").distinct()))
+    likely = cut(revealing(likely.join(at_least, "term", "left")).drop("n_t", "share"))
     if likely.isEmpty():
         return likely.select("term", "kind")
-    wanted = small(cut(likely.select("term").distinct()))
-    n = docs.count()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
-    of_term = words.join(wanted, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    held = F.log(F.lit(float(n)) / F.col("n_e"))
-    told = F.log(F.col("n_et") * F.lit(float(n)) / (F.greatest("n_t", "n_et") * F.col("n_e")))
-    share = likely.join(of_term, "term").join(of_entity, "e").withColumn("share", F.when(held > 0, told / held).otherwise(F.lit(0.0)))
-    return share.where(F.col("share") >= disclosure).groupBy("term").agg(F.max_by("kind", F.struct("share", "kind")).alias("kind"))
+    share = revealing(likely.join(documents_with(docs, cut(likely.select("term").distinct())), "term"))
+    return share.groupBy("term").agg(F.max_by("kind", F.struct("share", "kind")).alias("kind"))
 
 
 def scan(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
