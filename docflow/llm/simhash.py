@@ -9,6 +9,7 @@ already stand at the end of a path on which no bit differs. Tries that are too l
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -25,12 +26,8 @@ SEED = 42
 TRIE_ROWS, MOST_CUTS = 1024, 4
 #: Node pairs that a traversal holds at once; it goes on depth first beyond.
 FRONTIER = 2_000_000
-#: Fingerprints of a document and smaller neighbours that it keeps below each root, in the search for similar shingle sets.
-CODES, NEAREST = 6, 2
-CACHE_WORDS = 200_000
-#: Fingerprints of documents' words below one root that a task joins at once. Those of near copies are dense, and cutting them again would only copy them.
-CODE_ROWS = 20_000
-NO_RANK = np.int64(2**63 - 1)
+#: Documents of which common shingles are counted (expected, and a sixteenth of all at least), common shingles kept, and documents of a bucket that are all paired at once.
+SAMPLE_DOCS, COMMON, FEW_DOCS = 8192, 500_000, 16
 #: Ids that are broadcast at most (counted first); more are joined by shuffles.
 BROADCAST_IDS = 500_000
 #: Leaves of two nodes that are compared at once instead of going further down.
@@ -134,18 +131,6 @@ def linked(codes: np.ndarray, roots: np.ndarray, budget: int) -> np.ndarray:
     return labels
 
 
-def close_pairs(codes: np.ndarray, roots: np.ndarray, budget: int):
-    """Yields pairs that join all places that are linked: those of one bit, then those of more that link what is not linked yet."""
-    labels = None
-    for b in sorted({min(1, budget), budget}):
-        found = [(np.zeros(0, int), np.zeros(0, int))]
-        for i, j in trie_pairs(codes, roots, b, labels):
-            found.append((i, j))
-            yield i, j
-        if labels is None:
-            labels = local_labels(len(codes), np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found]))
-
-
 def masks(bits: list[int], budget: int, blocks: int) -> list[list[int]]:
     """Bits of each choice of blocks of which at least one choice is free of budget errors."""
     ends = [round(k * len(bits) / blocks) for k in range(blocks + 1)]
@@ -256,66 +241,164 @@ def groups(df: DataFrame, words: int = 4, budget: int = 4, id_col: str = "doc_id
     return found.join(known, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def word_codes(words: list[bytes], count: int, cache: dict[bytes, bytes]) -> np.ndarray:
-    """count fingerprints of 64 bits from the set of a text's words."""
-    distinct = set(words)
-    if not distinct:
-        return np.zeros(count, np.int64)
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    for w in [w for w in distinct if w not in cache]:
-        cache[w] = b"".join(xxhash.xxh64_digest(w, k) for k in range(count))
-    bits = np.unpackbits(np.frombuffer(b"".join(map(cache.__getitem__, distinct)), np.uint8).reshape(-1, 8 * count), axis=1)
-    return np.packbits(bits.sum(0, dtype=np.int32) * 2 > len(bits)).view(np.int64)
+def prefix_length(n: int, similarity: float) -> int:
+    """So many smallest shingles of n, in any order common to all documents, hold one of each set with that similarity."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set: rare ones by hash, then common ones (sorted hashes) by their rank."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    key = hashes >> np.uint64(1)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        key = np.where(common[at] == hashes, np.uint64(1 << 63) + rank[at], key)
+    return hashes[np.argsort(key, kind="stable")[: prefix_length(n, similarity)]]
+
+
+def common_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, rank from rare to common) of shingles that several documents of a sample hold; which they are decides on speed only."""
+    share = min(1.0, max(SAMPLE_DOCS, n // 16) / max(1, n))
+
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
+                found, times = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["h", "c"])
+
+    sample = texts.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * share))
+    counts = sample.mapInArrow(count, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= 3)
+    found = counts.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()
+    h = found["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], (len(h) - 1 - order).astype(np.uint64)
+
+
+def star_pairs(node, size, place, label, reach: float):
+    """Places (i, j) of one bucket: all pairs of a small one; of a larger one each document and the one with the fewest rarer shingles, in each class of sizes."""
+    if len(node) <= FEW_DOCS:
+        i, j = np.triu_indices(len(node), 1)
+    else:
+        kind = np.floor(np.log(size) / np.log(1.25)).astype(int)
+        order = np.lexsort((node, place, kind))
+        first = order[np.concatenate([[True], kind[order][1:] != kind[order][:-1]])]
+        i, j = np.repeat(first, len(node)), np.tile(np.arange(len(node)), len(first))
+    return i, j
+
+
+def cross_pairs(node, size, place, label, reach: float):
+    """Places (i, j) of one bucket: all pairs of different labels."""
+    names, inverse, times = np.unique(label, return_inverse=True, return_counts=True)
+    main = inverse == times.argmax()
+    every, ends = np.arange(len(node)), [(np.zeros(0, int), np.zeros(0, int))]
+    if len(node) <= FEW_DOCS:
+        return ends[0]  # star_pairs gave them all
+    for i in np.flatnonzero(~main).tolist():
+        j = every[(main | (every > i)) & (label != label[i])]
+        j = j[np.minimum(size[i] - place[i], size[j] - place[j]) >= reach * (size[i] + size[j])]
+        ends.append((np.full(len(j), i), j))
+    return tuple(np.concatenate(x) for x in zip(*ends))
+
+
+def bucket_pairs(shared: DataFrame, pairs, similarity: float) -> DataFrame:
+    """shared: (token, node, size, place, label). Returns distinct (a, b), a < b, that pairs() chooses below each token.
+
+    If a token is the first one that two prefixes share, nothing before it is shared and what follows bounds the overlap.
+    """
+    reach = similarity / (1 + similarity) - 1e-9
+
+    def work(t: pa.Table):
+        token, node, size, place, label = (t[c].to_numpy() for c in ("token", "node", "size", "place", "label"))
+        edge = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+        found, held = [], 0
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            i, j = pairs(node[lo:hi], size[lo:hi], place[lo:hi], label[lo:hi], reach)
+            i, j = i + lo, j + lo
+            ok = (node[i] != node[j]) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= reach * (size[i] + size[j]))
+            i, j = node[i[ok]], node[j[ok]]
+            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)], 1))
+            held += len(i)
+            if held > 500_000:
+                yield np.unique(np.concatenate(found), axis=0)
+                found, held = [], 0
+        if held:
+            yield np.unique(np.concatenate(found), axis=0)
+
+    def run(batches):
+        for t in whole_runs(batches):
+            for x in work(t):
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
+
+    parts = max(1, int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return shared.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def whole_runs(batches):
+    """Tables of rows sorted by token, with all rows of each token in one table."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= 50_000:
+            t = pa.Table.from_batches(held).combine_chunks()
+            token = t["token"].to_numpy()
+            at = int(np.searchsorted(token, token[-1]))
+            if at:
+                yield t.slice(0, at)
+            held, rows = t.slice(at).to_batches(), len(token) - at
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def shared_tokens(tokens: DataFrame) -> DataFrame:
+    """The rows of tokens (token, node, size, place) whose token stands with another node."""
+
+    def run(batches):
+        for t in whole_runs(batches):
+            token = t["token"].to_numpy()
+            same = np.concatenate([[False], token[1:] == token[:-1], [False]])
+            yield from t.filter(pa.array(same[1:] | same[:-1])).combine_chunks().to_batches()
+
+    parts = max(1, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return tokens.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "token bigint, node bigint, size int, place int")
 
 
-def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, codes: int = CODES, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id, component_id) for each row with an id: the smallest id reachable over documents whose sets of word shingles have a Jaccard similarity of at least `similarity`.
 
-    Candidates are documents of which one of several fingerprints over the set of words differs in at most budget bits,
-    found by the trie self-join; documents of one fingerprint stand for it with their smallest id and are candidates
-    with it. Below one root pairs of one bit count, and further ones that link what those do not; of these each
-    document keeps its NEAREST smaller ids. Each candidate pair
-    is then verified on the whole texts (shingle hashes of 32 bits). A pair at the threshold has a fingerprint within 4
-    of 64 bits with a probability near 0.4, so one of 6 has it in 19 of 20 cases; closer pairs are found almost surely.
-    Equal sequences of words are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
+    Exact by a prefix filter: in an order common to all documents, rare shingles first, two sets that are so similar
+    share one of their first shingles. Documents of one such shingle are a bucket. First each document of a large bucket
+    meets the one with the fewest rarer shingles; then all pairs that are not yet in one group and whose sizes and
+    places allow it are verified, so no pair that could join two groups is left out. Pairs are verified on the whole
+    texts (shingle hashes of 32 bits).
+    Equal sets of shingles are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
     an id are repeated.
     """
+    picked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    common, rank = common_shingles(picked, words, picked.count())
+    sc = df.sparkSession.sparkContext
+    known = sc.broadcast((common, rank))
 
     def scan(batches):
-        cache: dict[bytes, bytes] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                split = [(t or "").encode().lower().split() for t in part.column(1).to_pylist()]
-                whole = [xxhash.xxh3_128_hexdigest(b" ".join(w)) for w in split]
-                found = np.stack([word_codes(w, codes, cache) for w in split])
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(split) + 1, dtype=np.int32) * codes), pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole), lists, pa.array([len(w) > 0 for w in split])], names=["id", "whole", "codes", "worded"])
-
-    picked = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    rows = cut(picked.mapInArrow(scan, "id bigint, whole string, codes array<bigint>, worded boolean"))
-    reps = cut(rows.groupBy("whole").agg(F.min("id").alias("node"), F.first("codes").alias("codes"), F.first("worded").alias("worded")))
-
-    def task(found, nodes, roots):
-        best = np.full((NEAREST, len(found)), NO_RANK)  # bits that differ and the place of a neighbour with a smaller id
-        for i, j in close_pairs(found, roots, budget):
-            low, high = np.where(nodes[i] < nodes[j], i, j), np.where(nodes[i] < nodes[j], j, i)
-            rank = np.bitwise_count(found[low] ^ found[high]).astype(np.int64) << 40 | low
-            for k in range(NEAREST):
-                np.minimum.at(best[k], high, np.where(rank > (best[k - 1][high] if k else -1), rank, NO_RANK))
-        ends = [np.zeros((2, 0), np.int64)]
-        for k in range(NEAREST):
-            at = np.flatnonzero(best[k] < NO_RANK)
-            ends.append(np.stack([nodes[best[k][at] & ((1 << 40) - 1)], nodes[at]]))
-        a, b = np.concatenate(ends, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    many = reps.where("worded").select("node", F.posexplode("codes").alias("k", "fingerprint"))
-    once = cut(many.groupBy("k", "fingerprint").agg(F.min("node").alias("first")))
-    equal = many.join(once, ["k", "fingerprint"]).where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    tries = join_tries(once.select(F.col("first").alias("node"), "fingerprint", F.col("k").cast("string").alias("path")), budget, task, "a bigint, b bigint", CODE_ROWS)
-    edges = cut(tries.unionByName(equal).distinct())
-    wanted = cut(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct())
+                sets = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
+                whole = [xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets]
+                firsts = [prefix(x, similarity, *known.value) for x in sets]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole), lists, pa.array([len(x) for x in sets], pa.int32())], names=["id", "whole", "tokens", "size"])
+
+    rows = cut(picked.mapInArrow(scan, "id bigint, whole string, tokens array<bigint>, size int"))
+    known.unpersist()
+    named = cut(rows.groupBy("whole").agg(F.min("id").alias("node")))
+    copies = cut(rows.select("whole", "id").join(named, "whole").where("id <> node").select("whole", "id").distinct())
+    tokens = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, ["whole", "id"], "left_anti").select("id", "size", F.posexplode("tokens").alias("place", "token"))
+    shared = cut(shared_tokens(tokens.select("token", F.col("id").alias("node"), "size", "place")))
 
     def shingles(batches):
         for batch in batches:
@@ -323,24 +406,34 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, codes
                 sets = [np.unique(shingle_hashes(t, words).astype(np.uint32)).tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    some = picked.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "id")
-    sets = cut(some.mapInArrow(shingles, "id bigint, set binary")).groupBy("id").agg(F.min("set").alias("set"))
-
     def verify(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                shared = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+                both = np.concatenate([x, y])
+                both.sort(kind="stable")
+                overlap = int((both[1:] == both[:-1]).sum())
+                keep.append(overlap >= similarity * (len(both) - overlap))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    sure = edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    def verified(edges: DataFrame) -> DataFrame:
+        wanted = cut(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct())
+        some = picked.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "id")
+        sets = cut(some.mapInArrow(shingles, "id bigint, set binary")).groupBy("id").agg(F.min("set").alias("set"))
+        left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
+        right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
+        return cut(edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
+
+    first = cut(bucket_pairs(shared.withColumn("label", F.col("node")), star_pairs, similarity))
+    sure = verified(first)
     of = components(sure)
-    known = reps.join(of, "node", "left").select("whole", F.coalesce("component", "node").alias("component_id"))
-    return rows.select("id", "whole").join(known, "whole").select(F.col("id").alias(id_col), "component_id")
+    labelled = shared.join(of, "node", "left").select("token", "node", "size", "place", F.coalesce("component", "node").alias("label"))
+    more = cut(bucket_pairs(labelled, cross_pairs, similarity).join(first, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        of = components(sure.unionByName(verified(more)))
+    found = named.join(of, "node", "left").select("whole", F.coalesce("component", "node").alias("component_id"))
+    return rows.select("id", "whole").join(found, "whole").select(F.col("id").alias(id_col), "component_id")
 
 
 def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

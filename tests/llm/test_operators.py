@@ -124,6 +124,43 @@ def test_similar_documents(spark, docs):
     assert simhash.first_of_each(docs.where("false")).count() == 0
 
 
+def words_of(rng, n, vocabulary=5000):
+    return [f"w{x}" for x in rng.integers(0, vocabulary, n)]
+
+
+def brute_groups(texts, least=0.8):
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in texts.items()}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                low, high = sorted((root(a), root(b)))
+                label[high] = low
+    return {i: root(i) for i in sets}
+
+
+def test_similar_documents_of_a_large_group(spark):
+    rng = np.random.default_rng(11)
+    texts = {}
+    for g in range(2):  # copies are similar to their original, not to one another
+        base = words_of(rng, 204)
+        for i in range(150):
+            w = list(base)
+            for at in rng.choice(200, 4, replace=False):
+                w[at] = f"v{g}x{i}x{at}"
+            texts[1000 * g + i] = " ".join(w)
+        texts[1000 * g + 900] = " ".join(base)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()}
+    assert got == brute_groups(texts) and len(set(got.values())) < 150
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
