@@ -161,6 +161,17 @@ def test_similar_documents_of_a_large_group(spark):
     assert got == brute_groups(texts) and len(set(got.values())) < 150
 
 
+def test_similar_documents_cut_short_or_with_a_tail(spark):
+    rng = np.random.default_rng(12)
+    texts = {}
+    for i in range(60):
+        base, n = words_of(rng, 400), int(rng.integers(325, 400))
+        texts[3 * i], texts[3 * i + 1], texts[3 * i + 2] = " ".join(base), " ".join(base[:n]), " ".join([*base, *words_of(rng, 400 - n)])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()}
+    assert got == brute_groups(texts) and all(got[3 * i] == got[3 * i + 1] == got[3 * i + 2] for i in range(60))
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
