@@ -18,8 +18,8 @@ KINDS = ["email", "ip", "card", "phone", "term"]
 TERM = r"\p{L}{4,}"
 #: Characters on either side of an entity that are its context, and that tell contexts apart.
 CONTEXT, KEY = 80, 20
-#: Independent contexts in which a term must stand with an entity, their least share of all, and the share of the entity's information that a term may not exceed.
-SUPPORT, INDEPENDENT, DISCLOSURE = 3, 0.5, 0.8
+#: Independent contexts in which a term must stand with an entity, and the share of the entity's information that a term may not exceed.
+SUPPORT, DISCLOSURE = 3, 0.8
 #: Documents of which terms are counted first (expected), to leave out those that are common; the others are counted in all.
 SAMPLE_DOCS = 8192
 #: Rows of a table that is broadcast at most; larger ones are joined by shuffles.
@@ -80,12 +80,12 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, independent: float = INDEPENDENT, disclosure: float = DISCLOSURE) -> DataFrame:
+def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(term, kind): terms that reveal a protected entity, with the kind of the one that they reveal most of.
 
-    Of an entity e and a term t in its context, n_e, n_t and n_et count distinct contexts of e, documents with t (distinct
-    contexts of t beside e count once) and distinct contexts of e with t; N is the number of documents. t reveals
-    log(n_et N / (n_t n_e)) of the log(N / n_e) that e holds.
+    Of an entity e and a term t in its context, n_e, n_t and n_et count distinct contexts of e, distinct texts with t
+    (n_et at least) and distinct contexts of e with t; N is the number of distinct texts. t reveals
+    log(n_et N / (n_t n_e)) of the log(N / n_e) that e holds. So copies of documents change no term.
     """
     base = with_base(picked(docs, id_col, text_col)).where(F.size("_base") > 0)
     context = F.substring(F.col("_text"), F.greatest(F.col("s.start") + 1 - CONTEXT, F.lit(1)).cast("int"), (F.col("s.end") - F.col("s.start") + F.least(F.lit(CONTEXT).cast("long"), F.col("s.start")) + CONTEXT).cast("int"))
@@ -97,16 +97,18 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = base.select("_text", F.explode("_base").alias("s")).select(entity.alias("e"), F.col("s.kind").alias("kind"), key.alias("key"), F.lower(context).alias("context"), F.lower("s.match").alias("match"))
     terms = F.array_distinct(F.regexp_extract_all(F.replace(F.col("context"), F.col("match"), F.lit(" ")), F.lit(TERM), F.lit(0)))
     windows = cut(seen.select("e", "kind", "key", F.explode_outer(terms).alias("term")))
-    distinct = windows.groupBy("e", "kind", "key", "term").count()
+    distinct = windows.distinct()
     of_entity = distinct.groupBy("e", "key").agg(F.lit(1)).groupBy("e").agg(F.count("*").alias("n_e"))
-    pairs = distinct.where("term is not null").groupBy("e", "kind", "term").agg(F.count("*").alias("n_et"), F.sum("count").alias("rows"))
-    often = pairs.where((F.col("n_et") >= support) & (F.col("n_et") >= independent * F.col("rows")))
+    pairs = distinct.where("term is not null").groupBy("e", "kind", "term").agg(F.count("*").alias("n_et"))
+    often = pairs.where(F.col("n_et") >= support)
     likely = cut(often.join(of_entity, "e").select("e", "kind", "term", "n_et", "n_e"))
-    n = docs.count()
+    whole = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    size = docs.groupBy(whole.alias("whole")).count().agg(F.count("*").alias("n"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows")).first()
+    n = size["n"]
 
     def documents_with(some: DataFrame, terms: DataFrame) -> DataFrame:
-        words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
-        return words.join(small(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+        words = some.select(whole.alias("whole"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
+        return words.join(small(terms), "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
 
     def revealing(counted: DataFrame) -> DataFrame:
         held = F.log(F.lit(float(n)) / F.col("n_e"))
@@ -114,7 +116,7 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return counted.withColumn("share", F.when(held > 0, told / held).otherwise(F.lit(0.0))).where(F.col("share") >= disclosure)
 
     # documents of a sample are fewer than all: a term that they already make too common is too common
-    sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_DOCS / max(1, n))))
+    sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_DOCS / max(1, size["rows"]))))
     at_least = documents_with(sample, cut(likely.select("term").distinct()))
     likely = cut(revealing(likely.join(at_least, "term", "left")).drop("n_t", "share"))
     if likely.isEmpty():

@@ -245,6 +245,15 @@ def test_revealing_terms(spark):
     assert {r["doc_id"]: r["text"] for r in pii.sanitise(df, terms, ["doc_id", "text"]).collect()}[205] == "ask [term] about windmills"
 
 
+def test_copies_change_no_revealing_term(spark):
+    filler = ["alpha beta gamma delta", "omega sigma kappa theta", "brown foxes jump over", "lazy dogs sleep here", "seven green bottles hanging"]
+    told = [f"{filler[i]} please write with Quixotte at q@example.org about {filler[-1 - i]} n{i}" for i in range(3)]
+    other = [f"{filler[i % 5]} please write with somebody about {filler[i % 3]} item{i}" for i in range(300)]
+    for copies in (0, 4, 1000):
+        df = spark.createDataFrame(list(enumerate([*told, *told[:1] * copies, *other])), "doc_id long, text string")
+        assert {r["term"]: r["kind"] for r in pii.revealing_terms(df).collect()} == {"quixotte": "email"}, copies
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>Hi &eacute;</p></article>", "x"), (2, None, None, "x"), (3, "v", "", "x"), (1, "u", "<article><p>Hi &eacute;</p></article>", "x")], "page_id long, url string, html string, text string")
     assert rows(extract.extract(df)) == [(1, "u", "Hi é", 4), (1, "u", "Hi é", 4), (2, None, "", 0), (3, "v", "", 0)] and extract.extract(df.where("false")).count() == 0
