@@ -156,18 +156,19 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_c
                 if held[0] != number:
                     held = (number, Block(*unpack(ids, data, n, dim)))
                 own, queries = unpack(q_ids, q_data, q_n, dim)
-                best = reached.setdefault(q_number, [np.zeros(0, np.int64)] * q_n)  # scores of k candidates of other ids each
+                best = reached.setdefault(q_number, [np.zeros((2, 0), np.int64)] * q_n)  # scores and ids of the k best candidates of distinct ids each
                 reached.move_to_end(q_number)
                 if len(reached) > REMEMBERED:
                     reached.popitem(last=False)
                 out: list[list[np.ndarray]] = [[], [], []]
                 for i in range(q_n):
                     known = best[i]
-                    rows, scores = held[1].best(queries[i], int(own[i]), k, float(known[0]) if len(known) == k else -np.inf)
-                    found, first = np.unique(held[1].ids[rows], return_index=True) if held[1].copies == 1 else (None, None)
-                    if found is not None:  # with repeated ids a remembered score could be one id's twice
-                        known = np.sort(np.concatenate([known, scores]))[-k:]
-                        best[i] = known
+                    rows, scores = held[1].best(queries[i], int(own[i]), k, float(known[0, -1]) if known.shape[1] == k else -np.inf)
+                    score, name = np.concatenate([known, [scores, held[1].ids[rows]]], axis=1)
+                    order = np.lexsort((name, ~score))
+                    _, first = np.unique(name[order], return_index=True)  # an id in several rows or blocks counts once, with its best score
+                    order = order[np.sort(first)[:k]]
+                    best[i] = np.stack([score[order], name[order]])
                     for a, b in zip(out, (np.full(len(rows), own[i]), held[1].ids[rows], scores)):
                         a.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)) for a in out], names=["query_id", "id", "score"])

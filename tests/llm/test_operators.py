@@ -280,6 +280,23 @@ def test_top_k(spark):
     assert [(r[1], r[2], r[3]) for r in huge] == [(1, 1, 2**63 - 1), (2, 2, -(2**63))]
 
 
+def test_top_k_of_ids_repeated_in_other_blocks(spark):
+    rng = np.random.default_rng(8)
+    x = [(i, [float(a) for a in v]) for i, v in enumerate(rng.integers(-60, 61, (200, 6)) / 8)]
+    z = {i: [math.floor(1024 * a) for a in v] for i, v in x}
+    df = vectors(spark, [r for at in range(0, 200, 25) for r in x[at : at + 25] * 2]).coalesce(1)  # each block is followed by its copy in the same task
+    got = {}
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for q, r, i, s in rows(topk.top_k(df, F.col("vec_id") % 20 == 0, k=6, block=25)):
+            got.setdefault(q, {})[r] = (i, s)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for q in range(0, 200, 20):
+        want = sorted((-sum(a * b for a, b in zip(z[q], z[i])), i) for i in z if i != q)[:6]
+        assert got[q] == {k + 1: (i, -s) for k, (s, i) in enumerate(want)}
+
+
 def test_vector_groups(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(200, 16))
