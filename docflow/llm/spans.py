@@ -73,7 +73,7 @@ def overlaps(s: Column, others: Column) -> Column:
 
 
 def redacted(text: Column, found: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the one that begins first counts."""
+    """The text with each span replaced by its kind in brackets; overlapping spans are replaced as one, by the kind of the one that begins first."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     state = F.aggregate(
         F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k")))),
@@ -81,6 +81,6 @@ def redacted(text: Column, found: Column) -> Column:
         lambda acc, s: F.when(
             s["a"] >= acc["at"],
             F.struct(s["b"].alias("at"), F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["a"] - acc["at"]).cast("int")), F.lit("["), s["k"], F.lit("]")).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], F.when(s["a"] < acc["at"], acc["at"])).alias("at"), acc["out"].alias("out"))),
+        ).otherwise(F.struct(F.greatest(acc["at"], s["b"]).alias("at"), acc["out"].alias("out"))),
     )
     return F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
