@@ -102,12 +102,28 @@ def test_masks_meet_every_small_difference():
 
 def test_top_k_block_is_exact():
     rng = np.random.default_rng(0)
-    for _ in range(150):
-        n, d, k = int(rng.integers(1, 200)), int(rng.integers(0, 6)), int(rng.integers(1, 6))
-        x, ids, q, own = rng.integers(-5, 6, (n, d)).astype(float), rng.permutation(n), rng.integers(-5, 6, d).astype(float), int(rng.integers(0, n))
-        rows, scores = topk.Block(ids, x).best(q, own, k, -np.inf)
-        want = sorted((-int(x[i] @ q), int(ids[i])) for i in range(n) if ids[i] != own)[:k]
-        assert sorted(zip((-scores).tolist(), ids[rows].tolist()))[:k] == want
+    for trial in range(150):
+        n, d, k, m = int(rng.integers(1, 200)), int(rng.integers(0, 6)), int(rng.integers(1, 6)), int(rng.integers(1, 9))
+        x, ids, q, own = rng.integers(-5, 6, (n, d)).astype(float), rng.permutation(n) // (1 + trial % 2), rng.integers(-5, 6, (m, d)).astype(float), rng.integers(0, n, m)
+        full = [sorted({i: max((int(x[r] @ q[j]) for r in np.flatnonzero(ids == i)), default=0) for i in ids.tolist() if i != own[j]}.items(), key=lambda e: (-e[1], e[0])) for j in range(m)]
+        for reached in (np.full(m, -np.inf), np.array([float(f[min(k, len(f)) - 1][1]) if len(f) >= k else -np.inf for f in full])):
+            block = topk.Block(ids, x)
+            place, rows, scores = block.best(q, own, k, reached)
+            place, found, scores = topk.k_best(place, ids[rows], scores, k)
+            for j in range(m):
+                assert list(zip(found[place == j].tolist(), scores[place == j].tolist())) == full[j][:k]
+
+
+def test_top_k_reads_less_than_the_lists():
+    rng = np.random.default_rng(1)
+    x = np.floor(1024 * vecdedup.unit(rng.normal(size=(2048, 64))))
+    q = np.floor(1024 * vecdedup.unit(x[:40] + 60 * rng.normal(size=(40, 64))))
+    reached = np.partition(q @ x.T, -10, axis=1)[:, -10]
+    block = topk.Block(np.arange(2048), x)
+    place, _, _ = block.best(q, np.full(40, -1), 10, reached)
+    assert 400 <= len(place) < 440 and 0 < block.read < 0.6 * 40 * x.size
+    block.read = 0
+    assert not len(block.best(q, np.full(40, -1), 10, np.full(40, 1e9))[0]) and block.read == 0  # no row can reach it: nothing is read
 
 
 def test_vector_graph_finds_its_neighbours():
