@@ -2,14 +2,14 @@
 
 Each distinct pre-token of a slice of documents is one row of a padded matrix of token ids. In every round each
 row merges its leftmost pair of minimum rank; ranks come from a hashed pair table, and finished rows leave the
-matrix (compaction). Results are kept in a bounded cache of pre-tokens.
+matrix (compaction). A very long row stands alone in its matrix; its round merges, from left to right, all pairs of
+minimum rank of which the next would be the leftmost one anyway. Results are kept in a bounded cache of pre-tokens.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import heapq
 import json
 import re
 
@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from docflow.llm.shared import plain_pattern, slices
 
 #: Pre-tokens kept in a worker's cache before it is emptied.
-CACHE_PIECES = 400_000
-#: Pre-tokens of more bytes go through a heap, as rounds over a matrix would cost the square of their length.
-LONG_PIECE = 256
+CACHE_PIECES = 200_000
+#: Cells of a matrix at most, but for rows that alone have more, and the length of rows that stand alone.
+CELLS, LONG_ROW = 1 << 18, 2048
 NONE = np.int32(2**31 - 1)
 NEVER = np.int64(2**63 - 1)
 
@@ -88,7 +88,6 @@ class Codec:
 
     def __init__(self, tokens: dict[int, bytes], pairs: dict, pattern: str, whole: bool, special: dict[str, int] | None = None):
         self.table, self.pattern, self.special = PairTable(pairs), plain_pattern(pattern), special or {}
-        self.pairs = pairs
         self.byte_id = np.zeros(256, np.int32)
         self.ids = {v: k for k, v in tokens.items()} if whole else {}
         for k, v in tokens.items():
@@ -121,15 +120,16 @@ class Codec:
         found.append((rows, known[rows].astype(np.int32)))
         width = np.where(size <= 12, size, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
         width[(known >= 0) | (size == 0)] = 0
-        for w in np.unique(width[(width > 0) & (size <= LONG_PIECE)]).tolist():
-            rows = np.flatnonzero(width == w)
-            for k in range(0, len(rows), 65536):
-                part = rows[k : k + 65536]
+        for w in np.unique(width[(width > 0) & (size <= LONG_ROW)]).tolist():
+            rows = np.flatnonzero((width == w) & (size <= LONG_ROW))
+            step = max(1, CELLS // w)
+            for k in range(0, len(rows), step):
+                part = rows[k : k + step]
                 tok = self.byte_id[raw[np.minimum(start[part][:, None] + np.arange(w)[None, :], len(raw) - 1)]]
                 done, counts[part] = self.rounds(tok, size[part])
                 found.append((part, done[np.arange(w)[None, :] < counts[part][:, None]]))
-        for i in np.flatnonzero((size > LONG_PIECE) & (known < 0)).tolist():
-            ids = self.by_heap(data[i])
+        for i in np.flatnonzero((size > LONG_ROW) & (width > 0)).tolist():
+            ids = self.long_row(self.byte_id[raw[start[i] : start[i] + size[i]]])
             counts[i] = len(ids)
             found.append((np.array([i]), ids))
         begin = np.cumsum(counts) - counts
@@ -175,25 +175,35 @@ class Codec:
             score[r, a] = self.table.score[self.table.find(tok[r, a], tok[r, a + 1])]
         return done, done_size
 
-    def by_heap(self, piece: bytes) -> np.ndarray:
-        """The same merges for one long pre-token, in n log n steps."""
-        ids = self.byte_id[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before, pairs = [*range(1, n), -1], list(range(-1, n - 1)), self.pairs
-        heap = [(x[0], i, ids[i], ids[i + 1], x[1]) for i in range(n - 1) if (x := pairs.get((ids[i], ids[i + 1])))]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b, merged = heapq.heappop(heap)
-            k = after[i]
-            if ids[i] != a or k < 0 or ids[k] != b:
-                continue
-            ids[i], ids[k], after[i] = merged, -1, after[k]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for x in (before[i], i):
-                if x >= 0 and after[x] >= 0 and (y := pairs.get((ids[x], ids[after[x]]))):
-                    heapq.heappush(heap, (y[0], x, ids[x], ids[after[x]], y[1]))
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def long_row(self, tok: np.ndarray) -> np.ndarray:
+        """The merges of one row of any length.
+
+        Of the pairs of minimum rank that do not overlap, taken from the left, a round merges all up to the first one
+        after which a pair of lower rank would come first.
+        """
+        scores = lambda a, b: self.table.score[self.table.find(a, b)]
+        score = scores(tok[:-1], tok[1:])
+        while len(score):
+            best = score.min()
+            if best == NEVER:
+                break
+            at = np.flatnonzero(score == best)
+            run = np.concatenate([[True], np.diff(at) > 1])
+            at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))) % 2 == 0]
+            merged = np.full(len(at), best & 0xFFFFFFFF, tok.dtype)
+            joined = np.concatenate([[False], np.diff(at) == 2])  # what stands on the left was merged just before
+            left = np.where(joined, merged, tok[np.maximum(at - 1, 0)])
+            sooner = ((at > 0) & (scores(left, merged) < best)) | ((at + 2 < len(tok)) & (scores(merged, tok[np.minimum(at + 2, len(tok) - 1)]) < best))
+            if sooner.any():
+                at, merged = at[: int(sooner.argmax()) + 1], merged[: int(sooner.argmax()) + 1]
+            keep = np.ones(len(tok), bool)
+            keep[at + 1] = False
+            tok[at] = merged
+            at = at - np.arange(len(at))
+            tok, score = tok[keep], score[keep[:-1]] if keep[-1] else score[keep[:-1]][:-1]
+            for changed in (at[at > 0] - 1, at[at < len(score)]):
+                score[changed] = scores(tok[changed], tok[changed + 1])
+        return tok
 
     def split(self, text: str) -> list[str]:
         if self.special and any(s in text for s in self.special):

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text handled in one go inside a Python worker, in bytes; bounds its memory.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # The characters of the Unicode property White_Space.
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"

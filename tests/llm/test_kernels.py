@@ -38,6 +38,24 @@ def test_bpe_equals_the_libraries_and_comes_back(texts):
         assert ids[a:b].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_bpe_of_very_long_rows(monkeypatch):
+    import tiktoken
+
+    rng = random.Random(4)
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    other = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.ranks_codec(path, P.PATTERN)
+    rows = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet in ("ab", "abcdefghijklmnopqrstuvwxyz", "aeinrst", "éüа漢字") for n in (300, 2500, 9000)]
+    rows += ["=" * 20_000, "ab" * 9000, "a" * 4097, "thethatthen" * 1000]
+    want = [other.encode_ordinary(t) for t in rows]
+    for long_row in (bpe.LONG_ROW, 1):
+        monkeypatch.setattr(bpe, "LONG_ROW", long_row)
+        codec.forget()
+        ids, begins = codec.encode(rows)
+        assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == want
+
+
 def test_bpe_cache_may_be_emptied(texts, monkeypatch):
     codec = bpe.ranks_codec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     want = codec.encode(texts)[0].tolist()
