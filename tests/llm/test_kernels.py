@@ -187,3 +187,70 @@ def test_backoff_goes_from_words_to_shorter_grams():
     m = langid.Model([("en", 0, "the", 5), ("de", 0, "der", 5), ("en", 2, "th", 4), ("de", 2, "de", 4), ("en", 1, "t", 3), ("de", 1, "d", 3)])
     assert m.decide(m.word("the"), 1)[0] == "en" and m.decide(m.word("deppen"), 1)[0] == "de" and m.decide(m.word("t"), 1)[0] == "en"
     assert (m.word("xyz") == langid.ABSENT).all()
+
+
+WORDS = "the of and river garden window with a letter to morning under".split()
+
+
+def made_page(rng):
+    """A page and the text of its article, written down side by side."""
+    sentence = lambda k: " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, k)))
+    spaces = lambda t: "".join(rng.choice([" ", "\n", "  ", "\t", "&#32;"]) if c == " " else c for c in t)
+    raw, want = [], []
+
+    def apart():
+        return rng.choice([
+            f"<nav><ul><li><a href=/x>{sentence(4)}</a><li>{sentence(20)}</ul></nav>", f"<aside class=it's><p>{sentence(40)}</aside>", f"<form><p>{sentence(30)}</p><textarea><p>{sentence(9)}</textarea></form>",
+            f"<script>var t='</p><article>{sentence(5)}';</script>", f"<style>p > a {{ content: '<p>' }}</style>", f"<!-- <p>{sentence(9)}</p> -->", f'<div class="cookie notice">{sentence(60)}</div>', f"<section id=comments><article><p>{sentence(50)}</article></section>",
+        ])
+
+    raw.append(f"<!DOCTYPE html><html><head><title>{sentence(9)}</title></head><body><header><h1>{sentence(30)}</h1></header>{apart()}<article lang=en>")
+    for _ in range(rng.randint(1, 7)):
+        t = sentence(rng.choice([3, 40]))
+        kind = rng.randrange(7)
+        if kind == 0:
+            raw.append(f"<p title='a > b' data-x=\"<p>\">{spaces(t)}</p>")
+        elif kind == 1:
+            raw.append(f"<p title=it's><a href='/y'>{spaces(t)}</a>")
+        elif kind == 2:
+            raw.append(f"<figure><img src=a alt='{sentence(3)}'><figcaption>{spaces(t)}</figcaption></figure>")
+        elif kind == 3:
+            raw.append(f"<ul><li>{t}<li><b>&lt;{t}&GT; &eacute;&#233;&#x00000000e9;</b></ul>")
+            want.append(t)
+            t = f"<{t}> ééé"
+        elif kind == 4:
+            raw.append(f"<blockquote><P>{t} &amp;amp; &copy</P></blockquote>")
+            t += " &amp; ©"
+        elif kind == 5:
+            raw.append(f"<h2>{t}</h2>")
+        else:
+            raw.append(f"<table><tr><td>{t}<td>{t}</table>")
+            want.append(t)
+        want.append(t)
+        if rng.random() < 0.3:
+            raw.append(apart())
+    raw.append(f"</article>{apart()}<footer>{sentence(30)}</footer></body></html>")
+    return "".join(raw), "\n".join(want)
+
+
+def test_text_of_made_pages():
+    rng = random.Random(7)
+    for _ in range(300):
+        page, want = made_page(rng)
+        assert extract.main_text(page) == want, page
+
+
+@pytest.mark.parametrize("part", ["<a ", '<p title="', "<p title='", "<script ", "<script>", "<!--", "<", "</", "&#9", "<p a=\"'", "<style></styl", "&"])
+def test_long_pages_take_linear_time(part):
+    import time
+
+    page = "<article><p>text</p></article>" + part * (1_000_000 // len(part))
+    began = time.process_time()
+    assert extract.main_text(page).startswith("text")
+    assert time.process_time() - began < 10
+    assert extract.main_text("<p>" + "word of the " * 90_000).count("word") == 90_000
+
+
+def test_deep_pages_take_linear_time():
+    for page in ("<b>" * 40_000 + "</i>" * 40_000, "<b><article>" + "<i>" * 40_000 + "</b>" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "&#" + "9" * 50_000 + ";"):
+        extract.main_text(page + "<article><p>text</p></article>")
