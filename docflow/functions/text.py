@@ -36,6 +36,21 @@ def ngrams(term: Column, least: int, most: int, prefix_only: bool = False) -> Co
     return F.flatten(F.transform(F.sequence(F.lit(least), F.lit(most)), of_length))
 
 
+def n_ngrams(found: Column, least: int, most: int, prefix_only: bool = False) -> Column:
+    """How many n-grams the terms have, without making them."""
+
+    def of_term(t: Column) -> Column:
+        n = F.length(t)
+        return sum((F.greatest(F.lit(0), F.least(F.lit(1), n - k + 1) if prefix_only else n - k + 1) for k in range(least, most + 1)), F.lit(0))
+
+    return F.aggregate(found, F.lit(0), lambda s, t: s + of_term(t))
+
+
+def ngram_frequency(whole: Column, gram: str, prefix_only: bool = False) -> Column:
+    """How often an n-gram stands in terms, each of which follows a line feed in `whole`."""
+    return F.regexp_count(whole, F.lit(rf"\n\Q{gram}\E" if prefix_only else rf"(?=\Q{gram}\E)"))
+
+
 def contains_all(found: Column, wanted: list[str]) -> Column:
     return F.forall(F.array(*map(F.lit, wanted)), lambda t: F.array_contains(found, t)) if wanted else F.lit(True)
 
@@ -44,12 +59,20 @@ def contains_any(found: Column, wanted: list[str]) -> Column:
     return F.arrays_overlap(found, F.array(*map(F.lit, wanted))) if wanted else F.lit(False)
 
 
-def contains_phrase(found: Column, wanted: list[str]) -> Column:
-    """Whether the terms stand one after the other."""
+def joined(found: Column) -> Column:
+    """The terms in one text, each after a line feed."""
+    return F.concat(F.lit("\n"), F.array_join(found, "\n"))
+
+
+def contains_phrase(found: Column, wanted: list[str | list[str]]) -> Column:
+    """Whether the terms stand one after the other; a list stands for any of its terms. Terms hold no line feed: the joined terms are searched once."""
     if not wanted:
         return F.lit(True)
-    starts = F.when(F.size(found) >= len(wanted), F.sequence(F.lit(1), F.size(found) - len(wanted) + 1)).otherwise(F.array().cast("array<int>"))
-    return F.exists(starts, lambda i: F.slice(found, i, F.lit(len(wanted))) == F.array(*map(F.lit, wanted)))
+    whole = F.concat(joined(found), F.lit("\n"))
+    if all(isinstance(w, str) for w in wanted):
+        return F.contains(whole, F.lit("\n" + "\n".join(wanted) + "\n"))
+    places = ["(?:" + "|".join(rf"\Q{t}\E" for t in ([w] if isinstance(w, str) else w)) + ")" if w else "(?!)" for w in wanted]
+    return whole.rlike("\n" + "\n".join(places) + "\n")
 
 
 def _measure(stem: str) -> int:

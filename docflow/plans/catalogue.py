@@ -473,6 +473,32 @@ def match_phrase(spark, d):
     return table(spark, d, "documents").where(T.contains_phrase(T.terms(F.col("text")), ["of", "the"])).select("doc_id")
 
 
+@query(f"SELECT doc_id FROM documents WHERE contains(' ' || array_to_string({ALL_TERMS}, ' ') || ' ', ' to the of ')")
+def match_phrase_three_words(spark, d):
+    return table(spark, d, "documents").where(T.contains_phrase(T.terms(F.col("text")), ["to", "the", "of"])).select("doc_id")
+
+
+GRAMS = f"flatten(list_transform({ALL_TERMS}, lambda w: list_transform(range(1, CAST(greatest(length(w) - 2, 0) AS BIGINT) + 1), lambda i: substr(w, CAST(i AS INTEGER), 3))))"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {GRAMS} AS ts FROM documents), st AS (SELECT count(*) AS n, avg(len(ts)) AS avgdl FROM t), w(term) AS (VALUES ('ent'), ('nti'), ('tio')),
+    tf AS (SELECT doc_id, len(ts) AS dl, term, CAST(len(list_filter(ts, lambda x: x = term)) AS DOUBLE) AS tf FROM t, w), df AS (SELECT term, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY 1)
+    SELECT doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
+    FROM tf JOIN df USING (term), st GROUP BY doc_id HAVING min(tf) > 0 ORDER BY score DESC, doc_id LIMIT 20""")
+def query_string_ngram(spark, d):
+    return search.query_string(table(spark, d, "documents"), "text:entio", 20, analyzer=search.Analyzer(ngram=(3, 3)), id_col="doc_id")
+
+
+@query(r"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS a, regexp_extract_all(lower(coalesce(source, '')), '[\p{L}\p{N}]+') AS b FROM documents),
+    st AS (SELECT count(*) AS n, avg(len(a)) AS la, avg(len(b)) AS lb FROM t), w(f, term) AS (VALUES ('a', 'with'), ('b', 'web')),
+    tf AS (SELECT doc_id, f, term, CASE f WHEN 'a' THEN len(a) ELSE len(b) END AS dl, CAST(len(list_filter(CASE f WHEN 'a' THEN a ELSE b END, lambda x: x = term)) AS DOUBLE) AS tf FROM t, w),
+    df AS (SELECT f, term, count(*) FILTER (tf > 0) AS df FROM tf GROUP BY ALL)
+    SELECT doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / CASE f WHEN 'a' THEN la ELSE lb END))), 6) AS score
+    FROM tf JOIN df USING (f, term), st GROUP BY doc_id HAVING sum(tf) > 0 ORDER BY score DESC, doc_id LIMIT 25""")
+def query_string_fields(spark, d):
+    return search.query_string(table(spark, d, "documents"), "with source:web", 25, id_col="doc_id")
+
+
 @query("""WITH n AS (SELECT DISTINCT lower(event_type) AS term FROM events), g AS (SELECT term, unnest([3, 4]) AS n FROM n)
     SELECT term, substr(term, CAST(i AS INTEGER), CAST(n AS INTEGER)) AS gram FROM g, range(1, 20) t(i) WHERE i + n - 1 <= length(term)""")
 def ngram_terms(spark, d):
@@ -494,10 +520,9 @@ def stopword_terms(spark, d):
 
 @query()
 def stem_search(spark, d):
-    """Documents by the stem of a term: stems of the distinct terms, then a join. SQL has no stemmer."""
-    docs = table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.explode(F.array_distinct(T.terms(F.col("text")))).alias("term"))
-    stems = docs.select("term").distinct().withColumn("stem", T.stemmer()(F.col("term"))).where(F.col("stem") == T.porter("things"))
-    return docs.join(stems, "term").groupBy("doc_id").agg(F.count("*").alias("terms"))
+    """Documents by the stem of a word. SQL has no stemmer; a test compares with stems made term by term."""
+    docs = table(spark, d, "documents").where("lang = 'en'")
+    return search.query_string(docs, "things AND was", 20, analyzer=search.Analyzer(stemming=True), id_col="doc_id")
 
 
 @query(f"""WITH {RECORDS}, s AS (SELECT id, round(v[1] * 0.5 + v[4] * 2.0 + v[10] * -1.0, 6) AS score FROM rec) SELECT id, score FROM s ORDER BY score DESC, id LIMIT 15""")
