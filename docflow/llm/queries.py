@@ -84,4 +84,20 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op5_vector_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), u AS (
+            SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v
+        ), l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) >= 0.9
+        ), r AS (
+            SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node
+        )
+        SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, min(r.root) AS component_id, coalesce(e.vec_id = min(r.root), false) AS kept
+        FROM embeddings e LEFT JOIN r ON r.node = e.vec_id GROUP BY e.vec_id
+    """,
 }

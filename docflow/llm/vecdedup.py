@@ -4,7 +4,8 @@ Vectors go to the shards of their nearest centers, so shards overlap. Each shard
 and robust pruning; the adjacency lists that a vector got in its shards are united. Over the united lists each shard
 searches greedily from its medoid and from the vector itself, and expands on while there are neighbours in range.
 What it finds is verified in double precision. A sample of vectors is compared with all others by brute force, and
-the search is repeated with wider overlap and beam if its recall is too low.
+the search is repeated with wider overlap and beam if its recall is too low. If none of the tries comes up to it, all
+pairs are compared, chunk by chunk.
 
 Equal vectors are one vector with a weight. Large tight groups, found on the sample, are balls around a leader of
 half the angle in range, so all their pairs are links and are only counted. Only balls with others near take part in
@@ -23,7 +24,11 @@ from docflow.llm.components import components, local_labels, tree_edges
 from docflow.llm.shared import cut
 
 #: Rows of a shard on average and at most; rows sampled for centers and leaders; rows audited (all expected or bounded).
-SHARD_ROWS, MOST_ROWS, SAMPLE_ROWS, AUDIT_ROWS = 1500, 6000, 8192, 128
+SHARD_ROWS, MOST_ROWS, SAMPLE_ROWS, AUDIT_ROWS = 1500, 6000, 8192, 512
+#: The sample grows to four rows for each shard, but not beyond this.
+MOST_SAMPLE = 1 << 16
+#: Vectors that stand in more rows than this share of all are joined by broadcast: as many as its inverse at most.
+HOT_SHARE = 1e-4
 #: Out-degree, pruning factor, length of the candidate list, nodes expanded in one step, queries searched together.
 DEGREE, ALPHA, BEAM, EXPAND, TOGETHER = 24, 1.2, 48, 4, 256
 #: Sampled neighbours that make a sampled vector the leader of a ball.
@@ -203,12 +208,24 @@ def leaders_of(sample: np.ndarray, cos_radius: float) -> np.ndarray:
     return np.array(found).reshape(-1, sample.shape[1])
 
 
-def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, sample: np.ndarray, n: int):
-    """reps: (rep, w, v binary). Returns ((rep, w, node, ball, links), (a, b) edges of nodes): node is the rep, or -1 - ball."""
+def all_in_range(exact: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """All places (a, b), a < b, of unit vectors that score at least `least`."""
+    found = []
+    for k in range(0, len(exact), TOGETHER):
+        a, b = np.nonzero(exact[k : k + TOGETHER] @ exact[k:].T >= least)
+        found.append((a[a < b] + k, b[a < b] + k))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, sample: np.ndarray, n: int, exhaustive: bool = False):
+    """reps: (rep, w, v binary). Returns (placed, (rep, w, node, n_links), (a, b) edges of nodes): node is the rep, or -1 - ball.
+
+    exhaustive: one shard, whose chunks are compared pair by pair without a graph.
+    """
     angle = np.arccos(least)
     cos_radius, cos_border = np.cos(angle / 2) + 1e-9, np.cos(1.5 * angle) - 1e-9
     leaders = leaders_of(sample, cos_radius)
-    shards = max(1, min(round(n / SHARD_ROWS), len(sample) // 4 or 1))
+    shards = 1 if exhaustive else max(1, min(round(n / SHARD_ROWS), len(sample) // 4 or 1))
     centers = centers_of(sample, shards)
     top = min(overlap, len(centers))
 
@@ -246,17 +263,17 @@ def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, s
         graph = build(unit(matrix(pdf)).astype(np.float32), beam=beam)
         return pd.DataFrame({"rep": reps_, "out": [reps_[g[g >= 0]] for g in graph]})
 
-    lists = tasks.groupBy("shard", "i", "j").applyInPandas(build_shard, "rep bigint, out array<bigint>")
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out"))
+    if exhaustive:
+        joined = tasks.withColumn("out", F.array().cast("array<bigint>"))
+    else:
+        lists = tasks.groupBy("shard", "i", "j").applyInPandas(build_shard, "rep bigint, out array<bigint>")
+        joined = tasks.join(lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")), "rep")
 
-    def search_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep").reset_index(drop=True)
-        reps_, exact = pdf["rep"].to_numpy(), unit(matrix(pdf))
-        x = exact.astype(np.float32)
+    def in_graph(reps_: np.ndarray, x: np.ndarray, out) -> tuple[np.ndarray, np.ndarray]:
+        """Places (a, b), a < b, found from the medoid and from each vector itself over the united lists."""
         n = len(x)
-        width = max(1, max(len(o) for o in pdf["out"]))
-        graph = np.full((n, width), -1, np.int32)
-        for r, o in enumerate(pdf["out"]):
+        graph = np.full((n, max(1, max(map(len, out)))), -1, np.int32)
+        for r, o in enumerate(out):
             at = np.searchsorted(reps_, o)
             at = at[(at < n) & (reps_[np.minimum(at, n - 1)] == o)]
             graph[r, : len(at)] = at
@@ -265,15 +282,18 @@ def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, s
         found = []
         for k in range(0, n, TOGETHER):
             q = np.arange(k, min(n, k + TOGETHER))
-            starts = np.stack([np.full(len(q), medoid), q], 1)
-            starts[:, 1][starts[:, 1] == medoid] = medoid
-            a, b = in_range(x, graph, q, starts, beam, least - 1e-5)
+            a, b = in_range(x, graph, q, np.stack([np.full(len(q), medoid), q], 1), beam, least - 1e-5)
             found.append((q[a], b))
         a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        both = np.unique(low.astype(np.int64) * n + high)
+        both = np.unique(np.minimum(a, b).astype(np.int64) * n + np.maximum(a, b))
         a, b = both // n, both % n
-        a, b = a[a != b], b[a != b]
+        return a[a != b], b[a != b]
+
+    def search_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep").reset_index(drop=True)
+        reps_, exact = pdf["rep"].to_numpy(), unit(matrix(pdf))
+        n = len(exact)
+        a, b = all_in_range(exact, least) if exhaustive else in_graph(reps_, exact.astype(np.float32), pdf["out"])
         ok = np.einsum("ij,ij->i", exact[a], exact[b]) >= least
         a, b = a[ok], b[ok]
         ball, mine, own = pdf["ball"].to_numpy(), pdf["mine"].to_numpy(), pdf["shards"].tolist()
@@ -294,7 +314,7 @@ def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, s
             {"rep": np.concatenate([reps_[rows], np.full(len(ea), -1)]), "links": np.concatenate([links[rows].astype(np.int64), np.zeros(len(ea), np.int64)]), "a": np.concatenate([np.full(len(rows), -1), ea]), "b": np.concatenate([np.full(len(rows), -1), eb])}
         ).astype("int64")
 
-    found = cut(tasks.join(united, "rep").groupBy("shard", "i", "j").applyInPandas(search_shard, "rep bigint, links bigint, a bigint, b bigint"))
+    found = cut(joined.groupBy("shard", "i", "j").applyInPandas(search_shard, "rep bigint, links bigint, a bigint, b bigint"))
     counted = found.where("links > 0").groupBy("rep").agg(F.sum("links").alias("links"))
     nodes = placed.select("rep", "w", "ball", F.when(F.col("ball") < 0, F.col("rep")).otherwise(-1 - F.col("ball").cast("long")).alias("node"))
     balls = placed.where("ball >= 0").groupBy("ball").agg(F.sum("w").alias("ball_w"))  # leaders at most
@@ -304,7 +324,7 @@ def links_of(reps: DataFrame, dim: int, least: float, overlap: int, beam: int, s
 
 
 def audit(placed: DataFrame, linked: DataFrame, dim: int, least: float, n: int) -> float:
-    """Links found of those that brute force finds for about AUDIT_ROWS vectors against all."""
+    """Recall by brute force for about AUDIT_ROWS vectors against all: of all their links, or on average of each vector outside of balls if that is less."""
     chosen = placed.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, AUDIT_ROWS / max(1, n)))).select("rep", "v").collect()
     if not chosen:
         return 1.0
@@ -315,55 +335,58 @@ def audit(placed: DataFrame, linked: DataFrame, dim: int, least: float, n: int)
         for batch in batches:
             x = unit(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.float64).reshape(-1, dim))
             w = batch.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(((q @ x.T >= least) * w).sum(1))], names=["rep", "true"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(((q @ x.T >= least) * w).sum(1))], names=["rep", "real"])
+
+    real = placed.select("v", "w").mapInArrow(run, "rep bigint, real bigint").groupBy("rep").agg((F.sum("real") - 1).alias("real")).where(F.col("real") > 0)
+    found = F.least("real", "n_links")
+    r = linked.where(F.col("rep").isin(ids.tolist())).join(real, "rep").agg((F.sum(found) / F.sum("real")).alias("all"), F.avg(F.when(F.col("node") >= 0, found / F.col("real"))).alias("each")).first()
+    return min(1.0 if x is None else x for x in r)
+
 
-    true = placed.select("v", "w").mapInArrow(run, "rep bigint, true bigint").groupBy("rep").agg((F.sum("true") - 1).alias("true"))
-    r = linked.where(F.col("rep").isin(ids.tolist())).join(true, "rep").agg(F.sum(F.least("true", "n_links")).alias("found"), F.sum("true").alias("true")).first()
-    return r["found"] / r["true"] if r["true"] else 1.0
+def of_length(rows: DataFrame, dim: int, least: float, overlap: int, beam: int) -> DataFrame:
+    """rows: (id, x), sound vectors of one length. Returns (id, n_links, component_id)."""
+    grouped = cut(rows.groupBy("x").agg(F.min("id").alias("rep"), F.count("*").alias("w")))
+
+    def to_binary(batches):
+        for batch in batches:
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in flat], pa.binary())], names=["rep", "w", "v"])
+
+    reps = grouped.select("rep", "w", "x").mapInArrow(to_binary, "rep bigint, w bigint, v binary")
+    size = grouped.agg(F.count("*").alias("n"), F.sum("w").alias("rows")).first()
+    n = size["n"]
+    share = int((1 << 20) * min(1.0, max(SAMPLE_ROWS, min(MOST_SAMPLE, 4 * n // SHARD_ROWS)) / n))
+    sample = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share).select("v").collect() or reps.limit(1).select("v").collect()
+    sample = unit(np.frombuffer(b"".join(bytes(r["v"]) for r in sample), np.float64).reshape(-1, dim))
+    for t in range(TRIES + 1):
+        placed, linked, edges = links_of(reps, dim, least, overlap + t, beam << t, sample, n, exhaustive=t == TRIES)
+        linked = cut(linked)
+        if t == TRIES or audit(placed, linked, dim, least, n) >= LEAST_RECALL:
+            break
+    of = components(edges)
+    named = linked.join(of, "node", "left").select("rep", "n_links", F.coalesce("component", "node").alias("label"))
+    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    known = named.join(smallest, "label").select("rep", "n_links", "component_id")
+    by_vector = cut(grouped.join(known, "rep").select("x", "w", "n_links", "component_id"))
+    hot = F.col("w") > size["rows"] * HOT_SHARE
+    often = F.broadcast(by_vector.where(hot).drop("w"))
+    seldom = rows.join(often.select("x"), "x", "left_anti").join(by_vector.where(~hot).drop("w"), "x")
+    return rows.join(often, "x").unionByName(seldom).select("id", "n_links", "component_id")
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", overlap: int = 3, beam: int = BEAM) -> DataFrame:
     """Returns (id, n_links, component_id, kept) for each row.
 
     n_links counts the other rows whose vector has a cosine of at least `least`; component_id is the smallest id
-    reachable over links, kept tells whether it is the row's own. Vectors that are null, zero, hold null or non-finite
-    components, or are not of the commonest length have no links and are their own component; so are rows with a null
+    reachable over links, kept tells whether it is the row's own. Only vectors of one length link. Vectors that are
+    null, zero, or hold null or non-finite components have no links and are their own component; so are rows with a null
     id, whose component is null and which are not kept. Rows with equal vectors, repeated rows included, link with one
     another. Other columns are not carried; an empty table gives no rows.
     """
     x = F.col(vector_col).cast("array<double>")
     sound = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(x, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(sound, x).alias("x"))
-    lengths = rows.where("x is not null").groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = lengths[0]["d"] if lengths else 0
-    rows = rows.withColumn("x", F.when(F.size("x") == dim, F.col("x")))
-    grouped = rows.where("x is not null").groupBy("x").agg(F.min("id").alias("rep"), F.count("*").alias("w"))
-
-    def to_binary(batches):
-        for batch in batches:
-            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in flat], pa.binary())], names=["rep", "w", "v"])
-
-    if dim:
-        grouped = cut(grouped)
-        reps = grouped.select("rep", "w", "x").mapInArrow(to_binary, "rep bigint, w bigint, v binary")
-        n = reps.count()
-        share = int((1 << 20) * min(1.0, SAMPLE_ROWS / n))
-        sample = reps.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < share).select("v").collect() or reps.limit(1).select("v").collect()
-        sample = unit(np.frombuffer(b"".join(bytes(r["v"]) for r in sample), np.float64).reshape(-1, dim))
-        for t in range(TRIES):
-            placed, linked, edges = links_of(reps, dim, least, overlap + t, beam << t, sample, n)
-            linked = cut(linked)
-            if t + 1 == TRIES or audit(placed, linked, dim, least, n) >= LEAST_RECALL:
-                break
-        of = components(edges)
-        named = linked.join(of, "node", "left").select("rep", "n_links", F.coalesce("component", "node").alias("label"))
-        smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-        known = named.join(smallest, "label").select("rep", "n_links", "component_id")
-        by_vector = grouped.select("x", "rep").join(known, "rep").select("x", "n_links", "component_id")
-        done = rows.where("x is not null").join(by_vector, "x").select("id", "n_links", "component_id")
-        rest = rows.where("x is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-        out = done.unionByName(rest)
-    else:
-        out = rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    out = rows.where("x is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for r in rows.where("x is not null").select(F.size("x").alias("d")).distinct().orderBy("d").collect():  # lengths of vectors: few
+        out = out.unionByName(of_length(rows.where(F.size("x") == r["d"]), r["d"], least, overlap, beam))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -350,3 +350,33 @@ def test_vector_groups(spark):
         assert got[i] == (0, i, True)
     assert got[None] == (0, None, False)
     assert vecdedup.near_duplicates(vectors(spark, [])).count() == 0 and vecdedup.near_duplicates(vectors(spark, [(1, None)])).count() == 1
+
+
+def plain_links(x):
+    """Of vectors by id: numbers of links and components."""
+    ids = list(x)
+    found = {i: [j for j in ids if j != i and len(x[i]) == len(x[j]) and np.dot(x[i], x[j]) / np.linalg.norm(x[i]) / np.linalg.norm(x[j]) >= 0.9] for i in ids}
+    label = dict(zip(ids, ids))
+    for _ in ids:
+        new = {i: min([label[i], *(label[j] for j in found[i])]) for i in ids}
+        if new == label:
+            break
+        label = new
+    return {i: (len(found[i]), label[i], label[i] == i) for i in ids}
+
+
+def test_vectors_of_other_lengths_link_as_well(spark):
+    x = {1: [1.0, 0.0], 2: [1.0, 0.1], 3: [0.0, 1.0], 4: [1.0, 0.0, 0.0], 5: [2.0, 0.0, 0.0], 6: [5.0], 7: [-5.0], 8: [1.0, 0.05]}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vecdedup.near_duplicates(vectors(spark, list(x.items()))).collect()}
+    assert got == plain_links(x)
+
+
+def test_all_pairs_are_compared_if_no_try_is_good_enough(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(150, 8))
+    x = np.float32(np.concatenate([base, base[:40] + 0.2 * rng.normal(size=(40, 8)), base[:1] + 0.1 * rng.normal(size=(60, 8)), base[:1].repeat(30, 0)]))
+    monkeypatch.setattr(vecdedup, "audit", lambda *a: 0.0)
+    monkeypatch.setattr(vecdedup, "TRIES", 1)
+    monkeypatch.setattr(vecdedup, "MOST_ROWS", 50)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vecdedup.near_duplicates(vectors(spark, [(i, [float(a) for a in v]) for i, v in enumerate(x)])).collect()}
+    assert got == plain_links({i: v.astype(float) for i, v in enumerate(x)})
