@@ -1,15 +1,26 @@
-"""Cutting lineage where a result is used more than once."""
+"""Shared intermediate tables: where they go, and cutting lineage where a result is used more than once."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only a session within one process gets one of its own if none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="docflow-")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the cluster names in spark.checkpoint.dir; a folder of our own only where none is named."""
+    """A checkpoint in the shared folder; spark.cleaner.referenceTracking.cleanCheckpoints removes it when it is no longer used."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docflow-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

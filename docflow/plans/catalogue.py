@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions import text as T
 from docflow.functions import vectors
-from docflow.lineage import cut
+from docflow.lineage import cut, shared_folder
 from docflow.operators import batching, changelog, mapping, reconcile, replay, routing, search
 from docflow.sources import records as R
 from docflow.sources import synthetic
@@ -305,7 +303,7 @@ def stream_replay(spark, d):
     from docflow.streaming.replay import LOG as SCHEMA
     from docflow.streaming.replay import Versions, follow
 
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='docflow-stream-')}/stream-{spark.sparkContext.applicationId}-{abs(hash((d, id(spark)))) % 10**9}-{next(_COUNT)}"
+    base = f"{shared_folder(spark)}/stream-{spark.sparkContext.applicationId}-{abs(hash((d, id(spark)))) % 10**9}-{next(_COUNT)}"
     changes(spark, d).select(*[c.split()[0] for c in SCHEMA.split(", ")]).write.mode("overwrite").parquet(f"{base}/log")
     q = follow(spark, f"{base}/log", f"{base}/target", f"{base}/state")
     q.awaitTermination()
