@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import functools
 import re
-import tempfile
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from docflow.lineage import cut
+
+__all__ = ["char_class", "cut", "letter_runs", "plain_pattern", "slices", "table"]
+
 #: Text handled in one go inside a Python worker, in bytes; bounds its memory.
 SLICE_BYTES = 2 << 20
 
@@ -21,15 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a checkpoint in the folder that the cluster names in spark.checkpoint.dir."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="docflow-checkpoint-"))
-    return df.checkpoint()
-
-
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cuts a batch into runs of rows whose texts have about `limit` bytes together; a longer text stands alone."""
     texts = batch.column(batch.schema.get_field_index(column))

@@ -367,14 +367,15 @@ def shared_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, "token bigint, node bigint, size int, place int")
 
 
-def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id, component_id) for each row with an id: the smallest id reachable over documents whose sets of word shingles have a Jaccard similarity of at least `similarity`.
 
-    Exact by a prefix filter: in an order common to all documents, rare shingles first, two sets that are so similar
-    share one of their first shingles. Documents of one such shingle are a bucket. First each document of a large bucket
-    meets the one with the fewest rarer shingles; then all pairs that are not yet in one group and whose sizes and
-    places allow it are verified, so no pair that could join two groups is left out. Pairs are verified on the whole
-    texts (shingle hashes of 32 bits).
+    The trie self-join of the documents' fingerprints gives the first pairs. What fingerprints miss is found by a prefix
+    filter: in an order common to all documents, rare shingles first, two sets that are so similar share one of their
+    first shingles. Documents of one such shingle are a bucket. First each document of a large bucket meets the one with
+    the fewest rarer shingles; then all pairs that are not yet in one group and whose sizes and places allow it are
+    verified, so no pair that could join two groups is left out. Pairs are verified on the whole texts (sorted sets of
+    64-bit shingle hashes).
     Equal sets of shingles are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
     an id are repeated.
     """
@@ -386,16 +387,20 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_co
     def scan(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = [np.unique(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
+                hashes = [shingle_hashes(t, words) for t in part.column(1).to_pylist()]
+                codes, sets = np.array([fingerprint(h) for h in hashes], np.uint64), [np.unique(h) for h in hashes]
                 whole = [xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets]
                 firsts = [prefix(x, similarity, *known.value) for x in sets]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole), lists, pa.array([len(x) for x in sets], pa.int32())], names=["id", "whole", "tokens", "size"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole), pa.array(codes.view(np.int64)), lists, pa.array([len(x) for x in sets], pa.int32())], names=["id", "whole", "fingerprint", "tokens", "size"])
 
-    rows = cut(picked.mapInArrow(scan, "id bigint, whole string, tokens array<bigint>, size int"))
+    rows = cut(picked.mapInArrow(scan, "id bigint, whole string, fingerprint bigint, tokens array<bigint>, size int"))
     known.unpersist()
-    named = cut(rows.groupBy("whole").agg(F.min("id").alias("node")))
+    named = cut(rows.groupBy("whole").agg(F.min("id").alias("node"), F.min_by("fingerprint", "id").alias("fingerprint")))
+    reps = cut(named.groupBy("fingerprint").agg(F.min("node").alias("node")))
+    same = named.join(reps.select("fingerprint", F.col("node").alias("a")), "fingerprint").where("a <> node").select("a", F.col("node").alias("b"))
+    alike = links(reps, budget).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(same)
     copies = cut(rows.select("whole", "id").join(named, "whole").where("id <> node").select("whole", "id").distinct())
     tokens = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, ["whole", "id"], "left_anti").select("id", "size", F.posexplode("tokens").alias("place", "token"))
     shared = cut(shared_tokens(tokens.select("token", F.col("id").alias("node"), "size", "place")))
@@ -403,14 +408,14 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_co
     def shingles(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = [np.unique(shingle_hashes(t, words).astype(np.uint32)).tobytes() for t in part.column(1).to_pylist()]
+                sets = [np.unique(shingle_hashes(t, words)).tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
     def verify(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 overlap = int((both[1:] == both[:-1]).sum())
@@ -425,7 +430,7 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_co
         right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
         return cut(edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
 
-    first = cut(bucket_pairs(shared.withColumn("label", F.col("node")), star_pairs, similarity))
+    first = cut(bucket_pairs(shared.withColumn("label", F.col("node")), star_pairs, similarity).union(alike).distinct())
     sure = verified(first)
     of = components(sure)
     labelled = shared.join(of, "node", "left").select("token", "node", "size", "place", F.coalesce("component", "node").alias("label"))
@@ -439,7 +444,8 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_co
 def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of df without near-duplicates: of each group the row with the smallest id stays.
 
-    Rows that repeat an id are one; rows with a null id stay, as nothing tells them apart.
+    Rows that repeat an id are one; rows with a null id stay, as nothing tells them apart. Null, empty and blank texts are
+    one group. Texts are compared whole, whatever their length. An empty table stays empty; all columns are kept.
     """
     found = cut(similar_groups(df, id_col=id_col, text_col=text_col, **how))
     drop = cut(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct())
