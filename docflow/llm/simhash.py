@@ -258,6 +258,17 @@ def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray, rank: np.n
     return hashes[np.argsort(key, kind="stable")[: prefix_length(n, similarity)]]
 
 
+def to_bytes(hashes: np.ndarray) -> bytes:
+    """A set of hashes as the 48 lower bits of each: two texts of 20,000 words share one by chance in one of 10^5 cases."""
+    return np.unique(hashes & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def from_bytes(data) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def common_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted hashes, rank from rare to common) of shingles that several documents of a sample hold; which they are decides on speed only."""
     share = min(1.0, max(SAMPLE_DOCS, n // 16) / max(1, n))
@@ -374,8 +385,8 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, budge
     filter: in an order common to all documents, rare shingles first, two sets that are so similar share one of their
     first shingles. Documents of one such shingle are a bucket. First each document of a large bucket meets the one with
     the fewest rarer shingles; then all pairs that are not yet in one group and whose sizes and places allow it are
-    verified, so no pair that could join two groups is left out. Pairs are verified on the whole texts (sorted sets of
-    64-bit shingle hashes).
+    verified, so no pair that could join two groups is left out. Pairs are verified on the whole texts (sets of 48 bits of
+    the shingle hashes).
     Equal sets of shingles are one group: null, empty and blank texts too. Ids must be whole numbers; rows that repeat
     an id are repeated.
     """
@@ -408,15 +419,14 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, budge
     def shingles(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = [np.unique(shingle_hashes(t, words)).tobytes() for t in part.column(1).to_pylist()]
+                sets = [to_bytes(shingle_hashes(t, words)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
     def verify(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
+                both = np.concatenate([from_bytes(x.as_buffer()), from_bytes(y.as_buffer())])
                 both.sort(kind="stable")
                 overlap = int((both[1:] == both[:-1]).sum())
                 keep.append(overlap >= similarity * (len(both) - overlap))
@@ -425,7 +435,7 @@ def similar_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, budge
     def verified(edges: DataFrame) -> DataFrame:
         wanted = cut(edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct())
         some = picked.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "id")
-        sets = cut(some.mapInArrow(shingles, "id bigint, set binary")).groupBy("id").agg(F.min("set").alias("set"))
+        sets = some.mapInArrow(shingles, "id bigint, set binary").groupBy("id").agg(F.min("set").alias("set"))
         left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
         right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
         return cut(edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
