@@ -25,9 +25,10 @@ def is_null(value: Column) -> Column:
     return value.isNull() | F.is_variant_null(value)
 
 
-def is_storable(value: Column) -> Column:
-    """A text, number or boolean, or a list of texts."""
-    return kind(value).rlike(r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\)|ARRAY<(STRING|VOID)>)$") & ~((kind(value) == "ARRAY<VOID>") & (F.to_json(F.struct(value.alias("v"))) != '{"v":[]}'))
+def is_storable(value: Column, of_kind: Column | None = None) -> Column:
+    """A text, number or boolean, or a list of texts. of_kind: the value's kind, where it is known."""
+    k = kind(value) if of_kind is None else of_kind
+    return k.rlike(r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\)|ARRAY<(STRING|VOID)>)$") & ~((k == "ARRAY<VOID>") & (F.to_json(F.struct(value.alias("v"))) != '{"v":[]}'))
 
 
 def as_text(value: Column) -> Column:
@@ -60,7 +61,7 @@ def json_size(text: Column) -> Column:
         return texts.map(lambda t: None if t is None else len(json.dumps(json.loads(t)).encode())).astype("Int64")
 
     size.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(size, "long")(text)
+    return F.pandas_udf(size, "long").asNondeterministic()(text)  # else filters on its result would run the function once more
 
 
 def json_size_bound(text: Column) -> Column:

@@ -109,6 +109,9 @@ def probe(spark: SparkSession, d: str, vec_id: int = 0) -> list[float]:
 
 # Scans and projection.
 
+TOKENS = r"len(list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+'), lambda x: x <> ''))"
+WITHIN_LIMITS = f"strlen(text) <= 102400 AND {TOKENS} <= 10000"
+
 
 @query(f"WITH {RECORDS} SELECT id FROM rec WHERE lang = 'en' ORDER BY id LIMIT 100")
 def id_scan(spark, d):
@@ -127,14 +130,14 @@ def record_counts_by_ns(spark, d):
     return reconcile.record_counts(records(spark, d).withColumn("namespace", F.when(F.col("namespace") == "es", "").otherwise(F.col("namespace"))))
 
 
-@query(f"WITH {RECORDS} SELECT id, md5(text) AS text_md5, lang, source, n_chars, CAST(len(v) AS BIGINT) AS dimension FROM rec")
+@query(f"WITH {RECORDS} SELECT id, md5(text) AS text_md5, lang, source, n_chars, CAST(len(v) AS BIGINT) AS dimension FROM rec WHERE {WITHIN_LIMITS}")
 def map_documents(spark, d):
     m = mapping.documents(mapping.map_records(variants(records(spark, d)), mapping.Mapping(dimension=64)))
     get = lambda k, t="string": F.variant_get(F.element_at("meta", F.lit(k)), "$", t)
     return m.select("id", F.md5("texts.text").alias("text_md5"), get("lang").alias("lang"), get("source").alias("source"), get("n_chars", "bigint").alias("n_chars"), F.size("values").cast("long").alias("dimension"))
 
 
-@query(f"WITH {RECORDS} SELECT id, 'language' AS name, 's:' || lang AS value FROM rec UNION ALL SELECT id, 'n_chars', 'n:' || CAST(n_chars AS VARCHAR) || '.0' FROM rec WHERE n_chars < 1000000")
+@query(f"WITH {RECORDS}, fit AS (SELECT * FROM rec WHERE {WITHIN_LIMITS}) SELECT id, 'language' AS name, 's:' || lang AS value FROM fit UNION ALL SELECT id, 'n_chars', 'n:' || CAST(n_chars AS VARCHAR) || '.0' FROM fit")
 def map_rename_drop(spark, d):
     from docflow.functions.values import canonical
 
@@ -143,7 +146,6 @@ def map_rename_drop(spark, d):
 
 
 SMALL = mapping.Mapping(dimension=64, limits=mapping.Limits(text_bytes=4000, text_tokens=300))
-TOKENS = r"len(list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+'), lambda x: x <> ''))"
 
 
 @query(rf"""SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN embedding IS NULL THEN 'no_dense_values' WHEN doc_id % 10 = 3 THEN 'missing_text' WHEN strlen(text) > 4000 THEN 'text_too_large:text'
