@@ -238,9 +238,9 @@ def collapse_latest(spark, d):
     return changelog.collapse(changes(spark, d)).select("namespace", "doc_id", "seq", "op")
 
 
-@query(f"WITH {LOG} SELECT namespace, doc_id, max(seq) AS seq, arg_max(op, seq) AS op FROM log WHERE namespace = 'ns1' AND seq > 50 AND seq <= 5000 GROUP BY ALL")
+@query(f"WITH {LOG} SELECT namespace, doc_id, max(seq) AS seq, arg_max(op, seq) AS op FROM log WHERE namespace = 'ns1' AND seq > 50 GROUP BY ALL")
 def collapse_ns(spark, d):
-    return changelog.collapse(changes(spark, d), 50, 5000, "ns1").select("namespace", "doc_id", "seq", "op")
+    return changelog.collapse(changes(spark, d), 50, None, "ns1").select("namespace", "doc_id", "seq", "op")
 
 
 @query(f"WITH {LOG} SELECT seq, namespace, doc_id, op FROM log WHERE (namespace, doc_id) IN (SELECT (namespace, doc_id) FROM (SELECT namespace, doc_id, arg_max(op, seq) AS o FROM log GROUP BY ALL) WHERE o = 'update')")
@@ -248,9 +248,9 @@ def history_of_patched(spark, d):
     return changelog.history(changes(spark, d)).select("seq", "namespace", "doc_id", "op")
 
 
-@query("WITH " + FOLD.format(window="seq <= 4000") + " SELECT namespace, doc_id, seq, op, v FROM folded")
+@query("WITH " + FOLD.format(window="true") + " SELECT namespace, doc_id, seq, op, v FROM folded")
 def fold_actions(spark, d):
-    return changelog.fold(changes(spark, d), 0, 4000).select("namespace", "doc_id", "seq", "op", F.get("values", F.lit(0)).alias("v"))
+    return changelog.fold(changes(spark, d)).select("namespace", "doc_id", "seq", "op", F.get("values", F.lit(0)).alias("v"))
 
 
 @query("WITH " + FOLD.format(window="true") + """ SELECT namespace, doc_id, 'type' AS name, m_type AS value FROM folded WHERE m_type IS NOT NULL
@@ -274,11 +274,11 @@ def seeded(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(60).select(F.concat(F.lit("ns"), F.col("id") % 2).alias("namespace"), F.col("id").cast("string").alias("doc_id"), F.array(F.lit(-1.0)).alias("values"), F.create_map(F.lit("type"), F.lit("seed")).alias("metadata"))
 
 
-@query("WITH " + FOLD.format(window="seq <= 2000") + """, seed AS (SELECT 'ns' || (i % 2) AS namespace, CAST(i AS VARCHAR) AS doc_id, -1.0::DOUBLE AS v, 'seed' AS m_type FROM range(60) t(i))
+@query("WITH " + FOLD.format(window="true") + """, seed AS (SELECT 'ns' || (i % 2) AS namespace, CAST(i AS VARCHAR) AS doc_id, -1.0::DOUBLE AS v, 'seed' AS m_type FROM range(60) t(i))
     SELECT namespace, doc_id, CASE WHEN f.op IS NULL THEN s.v WHEN f.op = 'update' THEN coalesce(f.v, s.v) ELSE f.v END AS v, CASE WHEN f.op IS NULL THEN s.m_type WHEN f.op = 'update' THEN coalesce(f.m_type, s.m_type) ELSE f.m_type END AS m_type,
            f.m_k, f.m_clicked FROM seed s FULL OUTER JOIN folded f USING (namespace, doc_id) WHERE f.op IS NULL OR f.op <> 'delete'""")
 def replay_merge(spark, d):
-    return flat(replay.apply(seeded(spark, d), changes(spark, d), 0, 2000).documents)
+    return flat(replay.apply(seeded(spark, d), changes(spark, d)).documents)
 
 
 @query("WITH " + FOLD.format(window="true") + " SELECT seq, namespace, doc_id, 'no text in clicked' AS reason FROM folded WHERE op = 'upsert' AND m_clicked IS NULL")
@@ -286,17 +286,18 @@ def parked(spark, d):
     return replay.apply(seeded(spark, d), changes(spark, d), text_key="clicked").parked
 
 
-WINDOW_2 = FOLD.format(window="seq > 1000 AND seq <= 3000").replace(LOG + ", ", "").replace("w AS", "w2 AS").replace("st AS", "st2 AS").replace("live AS", "live2 AS").replace("folded AS", "folded2 AS").replace("FROM w JOIN st ", "FROM w2 w JOIN st2 st ").replace("FROM w GROUP", "FROM w2 GROUP").replace("FROM st LEFT", "FROM st2 st LEFT").replace("FROM live ", "FROM live2 ")
+WINDOW_2 = FOLD.format(window="seq > (SELECT max(seq) // 3 FROM log)").replace(LOG + ", ", "").replace("w AS", "w2 AS").replace("st AS", "st2 AS").replace("live AS", "live2 AS").replace("folded AS", "folded2 AS").replace("FROM w JOIN st ", "FROM w2 w JOIN st2 st ").replace("FROM w GROUP", "FROM w2 GROUP").replace("FROM st LEFT", "FROM st2 st LEFT").replace("FROM live ", "FROM live2 ")
 
 
-@query("WITH " + FOLD.format(window="seq <= 1000") + ", one AS (SELECT namespace, doc_id, v, m_type, m_k, m_clicked FROM folded WHERE op <> 'delete'), " + WINDOW_2 + """
+@query("WITH " + FOLD.format(window="seq <= (SELECT max(seq) // 3 FROM log)") + ", one AS (SELECT namespace, doc_id, v, m_type, m_k, m_clicked FROM folded WHERE op <> 'delete'), " + WINDOW_2 + """
     SELECT namespace, doc_id, CASE WHEN f.op IS NULL THEN o.v WHEN f.op = 'update' THEN coalesce(f.v, o.v) ELSE f.v END AS v, CASE WHEN f.op IS NULL THEN o.m_type WHEN f.op = 'update' THEN coalesce(f.m_type, o.m_type) ELSE f.m_type END AS m_type,
            CASE WHEN f.op IS NULL THEN o.m_k WHEN f.op = 'update' THEN coalesce(f.m_k, o.m_k) ELSE f.m_k END AS m_k, CASE WHEN f.op IS NULL THEN o.m_clicked WHEN f.op = 'update' THEN coalesce(f.m_clicked, o.m_clicked) ELSE f.m_clicked END AS m_clicked
     FROM one o FULL OUTER JOIN folded2 f USING (namespace, doc_id) WHERE f.op IS NULL OR f.op <> 'delete'""")
 def replay_incremental(spark, d):
     log = changes(spark, d)
-    first = replay.apply(seeded(spark, d).where("false"), log, 0, 1000)
-    return flat(replay.apply(cut(first.documents), log, first.cursor, 3000).documents)
+    third = changelog.head_seq(log).first()["head"] // 3
+    first = replay.apply(seeded(spark, d).where("false"), log, 0, third)
+    return flat(replay.apply(cut(first.documents), log, first.cursor).documents)
 
 
 @query("WITH " + FOLD.format(window="true") + " SELECT namespace, doc_id, v, m_type, m_k, m_clicked FROM folded WHERE op <> 'delete'")
@@ -371,7 +372,29 @@ def field_diff_meta(spark, d):
     return differences(spark, d).where("key is not null").select("id", "key")
 
 
-@query("SELECT false AS counts_ok, false AS ids_ok, false AS fields_ok, CAST(0 AS BIGINT) AS parked, false AS ok")
+def verdict_sql(target: str) -> str:
+    """counts_ok, ids_ok, fields_ok, parked and ok of rec against a table of the same shape."""
+    return f"""v AS (SELECT (SELECT count(*) FROM rec) = (SELECT count(*) FROM {target}) AS counts_ok,
+        NOT EXISTS (SELECT 1 FROM rec r FULL OUTER JOIN {target} t ON r.id = t.id WHERE r.id IS NULL OR t.id IS NULL) AS ids_ok,
+        NOT EXISTS (SELECT 1 FROM rec r JOIN {target} t ON r.id = t.id WHERE r.text IS DISTINCT FROM t.text OR r.lang IS DISTINCT FROM t.lang OR r.source IS DISTINCT FROM t.source OR r.n_chars IS DISTINCT FROM t.n_chars
+            OR len(list_filter(list_zip(r.v, t.v), lambda z: abs(z[1] - z[2]) > 1e-4 + 1e-5 * abs(z[2]))) > 0) AS fields_ok)
+        SELECT counts_ok, ids_ok, fields_ok, CAST(0 AS BIGINT) AS parked, counts_ok AND ids_ok AND fields_ok AS ok FROM v"""
+
+
+@query(f"WITH {TARGET}, {verdict_sql('rec')}")
+def reconcile_verdict_clean(spark, d):
+    r = records(spark, d)
+    same = r.select("id", "values", "text", "metadata")
+    return reconcile.verdict(r, same, reconcile.diff_fields(r, same, canonical_of=lambda v: v))
+
+
+@query(f"WITH {TARGET}, r AS (SELECT rec.id, rec.doc_id FROM rec JOIN tgt USING (id)) SELECT count(*) AS checked, count(*) FILTER (doc_id % 7 = 0) AS vector_mismatches, count(*) FILTER (doc_id % 13 = 0) AS text_mismatches, count(*) FILTER (doc_id % 11 = 0) AS metadata_mismatches, count(*) FILTER (doc_id % 7 = 0 OR doc_id % 13 = 0 OR doc_id % 11 = 0) = 0 AS ok FROM r")
+def field_report(spark, d):
+    checked = records(spark, d).join(target(spark, d).select("id"), "id", "left_semi").count()
+    return reconcile.field_report(differences(spark, d), checked)
+
+
+@query(f"WITH {TARGET}, {verdict_sql('tgt')}")
 def reconcile_verdict(spark, d):
     return reconcile.verdict(records(spark, d), target(spark, d), differences(spark, d))
 
