@@ -52,22 +52,30 @@ def fold(log: DataFrame, since: int = 0, until: int | None = None, namespace: st
 
     An upsert or delete forgets what came before; updates after an upsert are merged into its record, others into one
     patch. After delete and update in one window only the patch is left; with resolve_delete it becomes an upsert of
-    what the patch holds. Values merge key by key, so no document's history is gathered in one place.
+    what the patch holds. Values merge key by key with partial aggregation and the log itself is never joined, so a
+    document with a third of all changes is neither gathered in one place nor a hot key. Metadata are null only if no
+    change that counts has any; an upsert with none of its own keeps its empty map.
     """
     inside = window(log, since, until, namespace)
-    full = F.col("op") != "update"
+    full, live = F.col("op") != "update", F.col("op") != "delete"
+    at = lambda c: F.when(live & F.col(c).isNotNull(), F.col("seq"))
     state = inside.groupBy(*KEY).agg(
-        F.max("seq").alias("last_seq"), F.max_by("op", "seq").alias("last_op"), F.max(F.when(full, F.col("seq"))).alias("full_seq"), F.max_by("op", F.when(full, F.col("seq"))).alias("full_op")
+        F.max("seq").alias("last_seq"), F.max_by("op", "seq").alias("last_op"), F.max(F.when(full, F.col("seq"))).alias("full_seq"), F.max_by("op", F.when(full, F.col("seq"))).alias("full_op"),
+        F.max_by("values", at("values")).alias("values"), F.max(at("values")).alias("values_at"), F.max(at("metadata")).alias("metadata_at"),
     )
-    live = inside.where("op <> 'delete'").join(state.select(*KEY, "full_seq"), KEY).where(F.col("seq") >= F.coalesce("full_seq", F.lit(since)))
-    values = live.groupBy(*KEY).agg(F.max_by("values", F.when(F.col("values").isNotNull(), F.col("seq"))).alias("values"))
-    keys = live.select(*KEY, "seq", F.explode("metadata").alias("k", "v")).groupBy(*KEY, "k").agg(F.max_by("v", "seq").alias("v"))
-    meta = keys.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("metadata"))
+    # The last value of each name in the whole window; it counts if no upsert or delete came after it.
+    names = inside.where(live).select(*KEY, "seq", F.explode("metadata").alias("k", "v")).groupBy(*KEY, "k").agg(F.max_by("v", "seq").alias("v"), F.max("seq").alias("at"))
+    meta = names.groupBy(*KEY).agg(F.collect_list(F.struct("at", "k", "v")).alias("names"))
     patch = F.lit("upsert") if resolve_delete else F.lit("update")
     op = F.when(F.col("last_op") != "update", F.col("last_op")).when(F.col("full_op") == "upsert", "upsert").when(F.col("full_op") == "delete", patch).otherwise("update")
-    folded = state.join(values, KEY, "left").join(meta, KEY, "left").withColumn("op", op)
-    gone = F.col("op") == "delete"
-    return folded.select(*KEY, F.col("last_seq").alias("seq"), "op", F.when(~gone, F.col("values")).alias("values"), F.when(~gone, F.col("metadata")).alias("metadata"))
+    folded = state.join(meta, KEY, "left").withColumn("op", op).withColumn("begin", F.coalesce("full_seq", F.lit(since)))
+    kept = F.filter(F.coalesce("names", F.array()), lambda e: e["at"] >= F.col("begin"))
+    there = F.col("op") != "delete"
+    metadata = F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
+    return folded.select(
+        *KEY, F.col("last_seq").alias("seq"), "op", F.when(there & (F.col("values_at") >= F.col("begin")), F.col("values")).alias("values"),
+        F.when(there & (F.col("metadata_at") >= F.col("begin")), metadata).alias("metadata"),
+    )
 
 
 def action_stats(actions: DataFrame) -> DataFrame:
