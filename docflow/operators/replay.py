@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.values import merged
-from docflow.operators import changelog
+from docflow.lineage import cut
+from docflow.operators import changelog, mapping
 
 DOC = ["namespace", "doc_id", "values", "metadata"]
 
@@ -51,6 +52,54 @@ def apply(documents: DataFrame, log: DataFrame, cursor: int = 0, until: int | No
     return Applied(merge(documents, actions), parked, actions, max(cursor, head))
 
 
+def mapped(actions: DataFrame, m: mapping.Mapping) -> DataFrame:
+    """seq, namespace, doc_id, op, values, metadata, error_code, status (converted, skipped, failed) of folded actions with metadata of variants.
+
+    Upserts go through all checks of a record and patches through those of names and types; both get their new names.
+    Deletes pass as they are. Texts stand among the metadata under the names of their fields.
+    """
+    as_records = actions.withColumnRenamed("doc_id", "id")
+    whole = mapping.map_records(as_records.where("op = 'upsert'"), m)
+    texts = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(f).alias("key"), F.col(f"texts.{f}").cast("variant").alias("value")) for f in m.text_fields]), lambda e: e["value"].isNotNull()))
+    part = mapping.map_patches(as_records.where("op = 'update'"), m)
+    part = part.withColumn("error_code", F.when(F.coalesce("id", F.lit("")) == "", "empty_id").otherwise(F.col("error_code")))
+    cols = ["seq", "namespace", F.col("id").alias("doc_id"), "op", "values"]
+    return (
+        whole.select(*cols, F.map_concat("meta", texts).alias("metadata"), "error_code", "status")
+        .unionByName(part.select(*cols, F.col("meta").alias("metadata"), "error_code", F.when(F.col("error_code").isNull(), "converted").otherwise("failed").alias("status")))
+        .unionByName(as_records.where("op = 'delete'").select(*cols, "metadata", F.lit(None).cast("string").alias("error_code"), F.lit("converted").alias("status")))
+    )
+
+
+def applied_stats(actions: DataFrame, head: int) -> DataFrame:
+    """One row of mapped actions: upserted, updated, deleted, skipped, through_seq (head)."""
+    n = lambda op: F.count_if((F.col("status") == "converted") & (F.col("op") == op))
+    return actions.agg(n("upsert").alias("upserted"), n("update").alias("updated"), n("delete").alias("deleted"), F.count_if(F.col("status") == "skipped").alias("skipped"), F.lit(head).cast("long").alias("through_seq"))
+
+
+def apply_mapped(documents: DataFrame, log: DataFrame, m: mapping.Mapping, cursor: int = 0, until: int | None = None, namespace: str | None = None, dry_run: bool = False) -> Applied:
+    """Folds the window after the cursor, maps every action and merges it.
+
+    One action that fails a check raises MappingError, the one of the smallest seq, before anything is merged. Upserts
+    without a text, where the mapping allows for that, are parked and the cursor passes them. A dry run gives the
+    actions alone: documents and cursor stay, nothing is parked.
+    """
+    head = changelog.head_seq(log).first()["head"] if until is None else until
+    actions = cut(mapped(changelog.fold(log, cursor, head, namespace), m))
+    bad = actions.where("status = 'failed'").orderBy("seq").select("seq", "doc_id", "error_code").first()
+    if bad:
+        raise mapping.MappingError(f"change {bad['seq']} of {bad['doc_id']}: {bad['error_code']}")
+    parked = actions.where("status = 'skipped'").select("seq", "namespace", "doc_id", F.lit("no text for the full-text field").alias("reason"))
+    if dry_run:
+        return Applied(documents.select(*DOC), parked.where("false"), actions, cursor)
+    return Applied(merge(documents, actions.where("status = 'converted'")), parked, actions, max(cursor, head))
+
+
+def unapplied_count(parked: DataFrame) -> DataFrame:
+    """One row: how many changes are kept aside."""
+    return parked.agg(F.count_distinct("seq").alias("unapplied"))
+
+
 def unapplied(parked: DataFrame, limit: int = 100) -> DataFrame:
     return parked.orderBy("seq").limit(limit)
 

@@ -29,14 +29,19 @@ class Cutover:
     @classmethod
     def load(cls, path: str) -> Cutover:
         """The state in a file; the default one if there is none."""
-        if not Path(path).exists():
+        try:
+            found = json.loads(Path(path).read_text())
+        except FileNotFoundError:
             return cls()
-        found = json.loads(Path(path).read_text())
-        unknown = set(found) - {f.name for f in fields(cls)}
-        if unknown:
-            raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+        if unknown := sorted(found.keys() - {f.name for f in fields(cls)}):
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
         return cls(**found)
 
+    def reload(self, path: str) -> Cutover:
+        """Takes over what the file says now, so a router that holds this state follows it; a bad file changes nothing."""
+        self.__dict__.update(asdict(Cutover.load(path)))
+        return self
+
     def save(self, path: str) -> None:
         Path(path).parent.mkdir(parents=True, exist_ok=True)
         Path(path).write_text(json.dumps(asdict(self)))

@@ -205,9 +205,13 @@ def batch_by_count(spark, d):
     return batching.batch_sizes(batching.by_count(records(spark, d).select("doc_id"), "doc_id", 200))
 
 
-@query()
+@query(f"""WITH RECURSIVE {RECORDS}, n AS (SELECT doc_id, strlen(text) + 600 AS bytes, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM rec),
+    s AS (SELECT doc_id, bytes, CAST(r // 1000 AS BIGINT) AS shard, r % 1000 AS i FROM n),
+    b AS (SELECT shard, doc_id, bytes, i, CAST(0 AS BIGINT) AS batch, 1 AS held, CAST(bytes AS BIGINT) AS total FROM s WHERE i = 0
+        UNION ALL SELECT s.shard, s.doc_id, s.bytes, s.i, b.batch + CASE WHEN b.held >= 200 OR b.total + s.bytes > 100000 THEN 1 ELSE 0 END, CASE WHEN b.held >= 200 OR b.total + s.bytes > 100000 THEN 1 ELSE b.held + 1 END,
+            CASE WHEN b.held >= 200 OR b.total + s.bytes > 100000 THEN s.bytes ELSE b.total + s.bytes END FROM b JOIN s ON s.shard = b.shard AND s.i = b.i + 1)
+    SELECT shard, doc_id, CAST(bytes AS BIGINT) AS bytes, batch FROM b""")
 def batch_by_bytes(spark, d):
-    """Batches fill one row after the other, which plain SQL does not say."""
     sized = records(spark, d).select("doc_id", (F.octet_length("text") + 600).cast("long").alias("bytes"))
     return batching.by_bytes(batching.by_count(sized, "doc_id", 1000, "shard"), "shard", "doc_id", "bytes", 200, 100_000)
 
@@ -219,6 +223,48 @@ def join_text(spark, d):
     return R.join_text(r.select("id", "label", "metadata"), texts).select("id", "label", F.element_at("metadata", F.lit("text")).alias("text"))
 
 
+@query(f"WITH {RECORDS} SELECT 'documents' AS name, CAST(max(len(v)) AS BIGINT) AS dimension, 'cosine' AS metric, min(len(v)) = max(len(v)) AS uniform FROM rec")
+def describe_source(spark, d):
+    return R.describe(records(spark, d), "documents")
+
+
+@query("""WITH j AS (SELECT event_id, event_id % 6 AS i, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE i WHEN 0 THEN 'unsupported_type:m' WHEN 1 THEN 'list_of_non_strings:m' WHEN 2 THEN 'name_collision:embedding' WHEN 3 THEN 'bad_name:_id' END AS error_code FROM j""")
+def map_value_types(spark, d):
+    """Objects and lists of numbers are no metadata, nor is a name that is taken; lists of texts, numbers and nulls are."""
+    e = table(spark, d, "events")
+    i = F.col("event_id") % 6
+    meta = (
+        F.when(i == 0, F.concat(F.lit('{"text":"a","m":'), "props", F.lit("}"))).when(i == 1, F.concat(F.lit('{"text":"a","m":['), "event_id", F.lit("]}"))).when(i == 2, '{"text":"a","embedding":1}')
+        .when(i == 3, '{"text":"a","_id":"b"}').when(i == 4, '{"text":"a","m":["b"],"n":null,"_n":null}').otherwise('{"text":"a","m":1.5,"n":true}')
+    )
+    parsed = e.select(F.col("event_id").cast("string").alias("id"), F.array("value").alias("values"), F.from_json(meta, "map<string,variant>").alias("metadata"))
+    return mapping.map_records(parsed, mapping.Mapping()).select("id", "error_code")
+
+
+#: Written with a space after each colon and comma.
+META_BYTES = "(39 + strlen(lang) + strlen(source) + strlen(CAST(n_chars AS VARCHAR)))"
+
+
+@query(f"WITH {RECORDS} SELECT id, CASE WHEN {META_BYTES} > 50 THEN 'metadata_too_large' END AS error_code FROM rec")
+def map_metadata_size(spark, d):
+    m = mapping.Mapping(limits=mapping.Limits(metadata_bytes=50, text_bytes=1 << 30, text_tokens=1 << 30, document_bytes=1 << 40))
+    return mapping.map_records(variants(records(spark, d)), m).select("id", "error_code")
+
+
+@query("""WITH j AS (SELECT event_id, event_id % 4 AS i, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+    SELECT event_id, CASE i WHEN 0 THEN true WHEN 3 THEN k = 1 OR k = 0 ELSE false END AS same FROM j""")
+def metadata_equality(spark, d):
+    """A number equals the same one written with a fraction and, being 0 or 1, a boolean, but no text and no other number."""
+    from docflow.functions.values import canonical
+
+    k = F.get_json_object("props", "$.k").cast("long")
+    i = F.col("event_id") % 4
+    other = F.when(i == 0, F.concat(k, F.lit(".0"))).when(i == 1, F.concat(F.lit('"'), k, F.lit('"'))).when(i == 2, (k + 1).cast("string")).otherwise((k > 0).cast("string"))
+    e = table(spark, d, "events")
+    return e.select("event_id", canonical(F.parse_json(k.cast("string"))).eqNullSafe(canonical(F.parse_json(other))).alias("same"))
+
+
 # The change log.
 
 
@@ -286,6 +332,51 @@ def parked(spark, d):
     return replay.apply(seeded(spark, d), changes(spark, d), text_key="clicked").parked
 
 
+#: How the replay maps: one name changes, and upserts without their text are passed over.
+REPLAYED = mapping.Mapping(text_fields=("clicked",), rename={"type": "kind"}, allow_missing_text=True)
+
+
+def log_of_variants(spark: SparkSession, d: str) -> DataFrame:
+    return changes(spark, d).withColumn("metadata", F.transform_values("metadata", lambda _, v: v.cast("variant")))
+
+
+@query("WITH " + FOLD.format(window="true") + """, seed AS (SELECT 'ns' || (i % 2) AS namespace, CAST(i AS VARCHAR) AS doc_id, -1.0::DOUBLE AS v, 'seed' AS kind FROM range(60) t(i)),
+    f AS (SELECT * FROM folded WHERE NOT (op = 'upsert' AND m_clicked IS NULL))
+    SELECT namespace, doc_id, CASE WHEN f.op IS NULL THEN s.v WHEN f.op = 'update' THEN coalesce(f.v, s.v) ELSE f.v END AS v, CASE WHEN f.op IS NULL THEN s.kind WHEN f.op = 'update' THEN coalesce(f.m_type, s.kind) ELSE f.m_type END AS kind,
+           f.m_k AS k, f.m_clicked AS clicked FROM seed s FULL OUTER JOIN f USING (namespace, doc_id) WHERE f.op IS NULL OR f.op <> 'delete'""")
+def replay_mapped(spark, d):
+    """The log through the mapping of records and patches."""
+    before = seeded(spark, d).withColumn("metadata", F.create_map(F.lit("kind"), F.lit("seed").cast("variant")))
+    after = replay.apply_mapped(before, log_of_variants(spark, d), REPLAYED).documents
+    meta = lambda k: F.try_variant_get(F.element_at("metadata", F.lit(k)), "$", "string").alias(k)
+    return after.select("namespace", "doc_id", F.get("values", F.lit(0)).alias("v"), meta("kind"), meta("k"), meta("clicked"))
+
+
+@query("WITH " + FOLD.format(window="true") + """ SELECT count(*) FILTER (op = 'upsert' AND m_clicked IS NOT NULL) AS upserted, count(*) FILTER (op = 'update') AS updated, count(*) FILTER (op = 'delete') AS deleted,
+    count(*) FILTER (op = 'upsert' AND m_clicked IS NULL) AS skipped, CAST((SELECT max(seq) FROM log) AS BIGINT) AS through_seq FROM folded""")
+def replay_mapped_stats(spark, d):
+    done = replay.apply_mapped(seeded(spark, d).withColumn("metadata", F.lit(None).cast("map<string,variant>")), log_of_variants(spark, d), REPLAYED, dry_run=True)
+    return replay.applied_stats(done.actions, changelog.head_seq(changes(spark, d)).first()["head"])
+
+
+@query("WITH " + FOLD.format(window="true") + " SELECT seq, namespace, doc_id, 'bad_name:$clicked' AS error_code FROM folded WHERE op <> 'delete' AND m_clicked IS NOT NULL")
+def replay_rejected(spark, d):
+    """What would stop a replay: folded writes, whole and partial, one of whose new names is not allowed."""
+    m = mapping.Mapping(text_fields=("type",), rename={"clicked": "$clicked"}, allow_missing_text=True)
+    return replay.mapped(changelog.fold(log_of_variants(spark, d)), m).where("status = 'failed'").select("seq", "namespace", "doc_id", "error_code")
+
+
+@query("WITH " + FOLD.format(window="true") + " SELECT count(*) AS unapplied FROM folded WHERE op = 'upsert' AND m_clicked IS NULL")
+def unapplied_count(spark, d):
+    return replay.unapplied_count(replay.apply(seeded(spark, d), changes(spark, d), text_key="clicked").parked)
+
+
+@query(f"WITH {LOG} SELECT CAST((SELECT max(seq) FROM log) + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS seq, 7.0::DOUBLE AS ts, 'customers' AS namespace, CAST(c_custkey AS VARCHAR) AS doc_id, 'upsert' AS op FROM customer")
+def log_append(spark, d):
+    new = table(spark, d, "customer").select(F.col("c_custkey").alias("order"), F.lit("customers").alias("namespace"), F.col("c_custkey").cast("string").alias("doc_id"), F.lit("upsert").alias("op"), F.array("c_acctbal").alias("values"), F.create_map(F.lit("name"), "c_name").alias("metadata"))
+    return changelog.append(changes(spark, d), new, 7.0).select("seq", "ts", "namespace", "doc_id", "op")
+
+
 WINDOW_2 = FOLD.format(window="seq > (SELECT max(seq) // 3 FROM log)").replace(LOG + ", ", "").replace("w AS", "w2 AS").replace("st AS", "st2 AS").replace("live AS", "live2 AS").replace("folded AS", "folded2 AS").replace("FROM w JOIN st ", "FROM w2 w JOIN st2 st ").replace("FROM w GROUP", "FROM w2 GROUP").replace("FROM st LEFT", "FROM st2 st LEFT").replace("FROM live ", "FROM live2 ")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.values import parse_metadata
 from docflow.operators.batching import by_count
+from docflow.sources.settings import struct_type
 
 EXPORT = "id string, values array<float>, metadata string"
 
@@ -56,9 +57,39 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(shard.alias("shard"), F.trim("value").alias("value")).where("value <> ''")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any store that Spark reads; a store that cannot be asked raises."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+
+
 def write_namespace(documents: DataFrame, path: str, must_be_absent: bool = False) -> None:
-    """One folder for each namespace; with must_be_absent an existing collection is an error."""
-    documents.write.mode("errorifexists" if must_be_absent else "append").partitionBy("namespace").parquet(path)
+    """One folder for each namespace; with must_be_absent a namespace that is there already is an error, before any row is written."""
+    if must_be_absent and exists(documents.sparkSession, path):
+        known = documents.sparkSession.read.schema(documents.schema).parquet(path).select("namespace").distinct()
+        taken = documents.select("namespace").distinct().join(known.withColumnRenamed("namespace", "known"), F.col("namespace").eqNullSafe(F.col("known"))).orderBy("namespace").first()
+        if taken:
+            raise ValueError(f"namespace {taken['namespace']!r} is there already; an import only makes new ones")
+    documents.write.mode("append").partitionBy("namespace").parquet(path)
+
+
+def create_collection(spark: SparkSession, path: str, schema: dict) -> bool:
+    """Makes an empty collection of the declared fields beside namespace and metadata, unless there is one; tells whether it did."""
+    if exists(spark, path):
+        return False
+    kind = struct_type(schema).add("metadata", "string").add("namespace", "string")
+    spark.createDataFrame([], kind).write.parquet(path)
+    return True
+
+
+def describe(records: DataFrame, name: str, metric: str = "cosine") -> DataFrame:
+    """One row: name, dimension (of the longest vector, null if there is none), metric, uniform (all vectors are of one length).
+
+    The metric is the one that the column values declares in its metadata, else the given one.
+    """
+    declared = records.schema["values"].metadata.get("metric", metric)
+    sizes = F.nullif(F.size("values"), F.lit(0))
+    return records.where("values is not null").agg(F.max(sizes).cast("long").alias("dimension"), F.coalesce(F.min(sizes) == F.max(sizes), F.lit(True)).alias("uniform")).select(F.lit(name).alias("name"), "dimension", F.lit(declared).alias("metric"), "uniform")
 
 
 def parse_uri(uri: str) -> tuple[str, str, str]:

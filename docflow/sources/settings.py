@@ -54,14 +54,25 @@ class Settings:
 
 
 def expand(value, unresolved: set[str]):
-    """Replaces ${NAME} in texts at any depth; unknown names become blank and are remembered, a bare $NAME stays unless known."""
-    if isinstance(value, str):
-        known = os.path.expandvars(value)
-        unresolved |= set(re.findall(r"\$\{([^}]*)\}", known))
-        return re.sub(r"\$\{[^}]*\}", "", known)
-    if isinstance(value, dict):
-        return {k: expand(v, unresolved) for k, v in value.items()}
-    return [expand(v, unresolved) for v in value] if isinstance(value, list) else value
+    """Replaces ${NAME} and known $NAME in texts at any depth; an unknown ${NAME} becomes blank and is remembered."""
+
+    def found(m: re.Match) -> str:
+        braced, bare = m.groups()
+        if (known := os.environ.get(bare if braced is None else braced)) is not None:
+            return known
+        if braced is None:
+            return m.group()
+        unresolved.add(braced)
+        return ""
+
+    match value:
+        case str():
+            return re.sub(r"\$(?:\{([^}]*)\}|(\w+))", found, value, flags=re.ASCII)
+        case dict():
+            return {k: expand(v, unresolved) for k, v in value.items()}
+        case list():
+            return [expand(v, unresolved) for v in value]
+    return value
 
 
 def load(path: str) -> Settings:

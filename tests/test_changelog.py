@@ -114,3 +114,103 @@ def test_searchable(spark):
     docs = documents(spark, ("a", None, None))
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "doc_id string")
     assert replay.all_searchable(docs, ids("a")) and replay.all_searchable(docs, ids()) and not replay.all_searchable(docs, ids("a", "b"))
+
+
+VARIANTS = LOG.replace("map<string,string>", "string")
+
+
+def variants(spark, *rows):
+    import json
+
+    made = spark.createDataFrame([(s, float(s), ns, i, op, v, None if m is None else json.dumps(m)) for s, ns, i, op, v, m in rows], VARIANTS)
+    return made.withColumn("metadata", F.from_json("metadata", "map<string,variant>"))
+
+
+def as_json(documents):
+    return {r["doc_id"]: (r["values"], r["m"]) for r in documents.select("doc_id", "values", F.to_json("metadata").alias("m")).collect()}
+
+
+def none_yet(spark):
+    return spark.createDataFrame([], "namespace string, doc_id string, values array<double>, metadata map<string,variant>")
+
+
+def test_empty_metadata_stay_empty(spark):
+    assert folded(spark, (1, "a", "upsert", [1.0], {})) == {"a": ("upsert", [1.0], {})}
+    assert folded(spark, (1, "a", "update", [1.0], None)) == {"a": ("update", [1.0], None)}
+    assert folded(spark, (1, "a", "update", None, {"p": "1"}), (2, "a", "upsert", [1.0], {})) == {"a": ("upsert", [1.0], {})}
+
+
+def test_mapped_replay(spark):
+    from docflow.operators.mapping import Mapping, MappingError
+
+    m = Mapping(rename={"t": "title"}, drop=("x",), allow_missing_text=True, dimension=1)
+    rows = variants(
+        spark, (1, "n", "a", "upsert", [1.0], {"text": "one", "t": "T", "x": 1, "z": None}), (2, "n", "b", "upsert", [1.0], {"t": "no text"}), (3, "n", "c", "update", [3.0, 4.0], {"t": "P"}),
+        (4, "n", "d", "delete", None, None), (5, "m", "e", "upsert", [1.0], {"text": "other"}),
+    )
+    before = variants(spark, (0, "n", "c", "upsert", [9.0], {"title": "old", "text": "keep"}), (0, "n", "d", "upsert", [9.0], {"text": "gone"})).select("namespace", "doc_id", "values", "metadata")
+    done = replay.apply_mapped(before, rows, m, namespace="n")
+    assert as_json(done.documents) == {"a": ([1.0], '{"title":"T","text":"one"}'), "c": ([3.0, 4.0], '{"text":"keep","title":"P"}')}
+    assert [tuple(r) for r in done.parked.collect()] == [(2, "n", "b", "no text for the full-text field")] and done.cursor == 5
+    assert replay.unapplied_count(done.parked).first()[0] == 1
+    assert tuple(replay.applied_stats(done.actions, done.cursor).first()) == (1, 1, 1, 1, 5)
+    again = replay.apply_mapped(done.documents, rows, m, namespace="n")
+    assert as_json(again.documents) == as_json(done.documents)
+    dry = replay.apply_mapped(before, rows, m, namespace="n", dry_run=True)
+    assert dry.cursor == 0 and dry.parked.isEmpty() and as_json(dry.documents) == as_json(before)
+    with pytest.raises(MappingError, match="change 2 of b: missing_text"):
+        replay.apply_mapped(before, rows, Mapping(), namespace="n")
+    with pytest.raises(MappingError, match="change 7 of f: bad_name"):
+        replay.apply_mapped(before, variants(spark, (7, "n", "f", "update", None, {"_p": 1}), (8, "n", "g", "update", None, {"$p": 1})), m)
+    nothing = replay.apply_mapped(none_yet(spark), rows.where("false"), m)
+    assert nothing.documents.isEmpty() and nothing.cursor == 0
+
+
+def test_capture_writes_both_and_refuses_the_rest(spark, tmp_path):
+    from docflow.operators.capture import Capture, CaptureError
+
+    written = []
+    c = Capture(spark, lambda op, ns, rows: written.append((op, ns, sorted(r["doc_id"] for r in rows.collect()))), str(tmp_path / "log"), "n", clock=lambda: 5.0)
+    assert c.upsert([{"id": "a", "values": None, "metadata": None}, ("b", [1.0], {"k": 1}), ("c", [2.0])]) == 3
+    assert c.update("a", set_metadata={"p": "x"}) == 1 and c.delete(["b"], namespace="other") == 1 and c.delete([]) == 0 and c.delete() == 0
+    assert written == [("upsert", "n", ["a", "b", "c"]), ("update", "n", ["a"]), ("delete", "other", ["b"])]
+    got = [tuple(r) for r in c.log().select("seq", "ts", "namespace", "doc_id", "op", "values", F.to_json("metadata")).orderBy("seq").collect()]
+    assert got == [(1, 5.0, "n", "a", "upsert", [], "{}"), (2, 5.0, "n", "b", "upsert", [1.0], '{"k":1}'), (3, 5.0, "n", "c", "upsert", [2.0], "{}"), (4, 5.0, "n", "a", "update", None, '{"p":"x"}'), (5, 5.0, "other", "b", "delete", None, None)]
+    refused = [
+        lambda: c.upsert([("a", [1.0])], batch_size=10), lambda: c.update("a", filter={"k": 1}), lambda: c.update(values=[1.0]), lambda: c.update("a", dry_run=True), lambda: c.delete(delete_all=True),
+        lambda: c.delete(filter={"k": 1}), lambda: c.upsert([{"id": "", "values": [1.0]}]), lambda: c.start_import("s3://x"), lambda: c.delete_namespace("n"), lambda: c.upsert([("a", [1.0])], later=True),
+    ]
+    for call in refused:
+        with pytest.raises(CaptureError):
+            call()
+    assert len(written) == 3 and c.log().count() == 5
+
+
+def test_a_failing_source_leaves_no_log(spark, tmp_path):
+    from docflow.operators.capture import Capture
+
+    def fail(*_):
+        raise OSError("down")
+
+    c = Capture(spark, fail, str(tmp_path / "log"))
+    with pytest.raises(OSError):
+        c.delete(["a"])
+    assert c.log().isEmpty()
+
+
+def test_cursors_and_parked_changes_are_kept(spark, tmp_path):
+    from docflow.sources.cursors import Cursors, Unapplied
+
+    c = Cursors(spark, str(tmp_path / "cursors"))
+    assert c.get("target") == 0
+    c.set("target", 7)
+    c.set("other", 3)
+    c.set("target", 5)
+    assert c.get("target") == 5 and c.get("other") == 3 and Cursors(spark, c.path).get("target") == 5
+    u = Unapplied(spark, str(tmp_path / "parked"))
+    assert u.read().isEmpty()
+    row = lambda seq, why: spark.createDataFrame([(seq, "n", "a", why)], "seq long, namespace string, doc_id string, reason string")
+    u.park(row(2, "x"), 1.0)
+    u.park(row(2, "y"), 2.0)
+    u.park(row(1, "z"), 3.0)
+    assert [(r["seq"], r["reason"]) for r in replay.unapplied(u.read()).collect()] == [(1, "z"), (2, "y")]

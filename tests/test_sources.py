@@ -79,3 +79,60 @@ def test_workload(spark):
     mix = synthetic.workload_stats(synthetic.workload(spark, 4000, 100)).first()
     assert 0.5 < mix["inserts"] / 4000 < 0.6 and mix["writes"] == 4000 - mix["querys"]
     assert synthetic.workload_stats(synthetic.workload(spark, 50, 0)).first()["inserts"] == 50
+
+
+def test_collections_and_namespaces(spark, tmp_path):
+    from docflow.sources import records
+
+    path = str(tmp_path / "docs")
+    docs = spark.createDataFrame([("a", "x"), ("01", "y"), (None, "z")], "namespace string, id string")
+    records.write_namespace(docs.where("namespace = 'a'"), path, must_be_absent=True)
+    records.write_namespace(docs.where("namespace = '01'"), path, must_be_absent=True)
+    for again in ("namespace = 'a'", "namespace = '01'", "namespace in ('a', 'b')"):
+        with pytest.raises(ValueError, match="there already"):
+            records.write_namespace(docs.where(again), path, must_be_absent=True)
+    records.write_namespace(docs.where("namespace is null"), path, must_be_absent=True)
+    with pytest.raises(ValueError):
+        records.write_namespace(docs.where("namespace is null"), path, must_be_absent=True)
+    assert spark.read.schema(docs.schema).parquet(path).count() == 3
+    schema = {"fields": {"v": {"type": "dense_vector", "dimension": 2}, "t": {"type": "string"}}}
+    assert records.create_collection(spark, str(tmp_path / "new"), schema) and not records.create_collection(spark, str(tmp_path / "new"), schema)
+    assert spark.read.parquet(str(tmp_path / "new")).columns == ["_id", "v", "t", "metadata", "namespace"]
+
+
+def test_description_of_a_source(spark):
+    from docflow.sources import records
+
+    df = spark.createDataFrame([([1.0, 2.0],), (None,), ([1.0],)], "values array<double>")
+    assert tuple(records.describe(df, "x", "dotproduct").first()) == ("x", 2, "dotproduct", False)
+    assert tuple(records.describe(df.where("false"), "x").first()) == ("x", None, "cosine", True)
+
+
+def test_state_follows_its_file(tmp_path):
+    from docflow.operators.routing import Cutover
+
+    path = str(tmp_path / "state.json")
+    held = Cutover.load(path)
+    Cutover("ramp", 30.0, "go").save(path)
+    assert held.reload(path) is held and (held.mode, held.target_read_pct) == ("ramp", 30.0)
+    (tmp_path / "state.json").write_text('{"mode": "none"}')
+    with pytest.raises(ValueError):
+        held.reload(path)
+    assert held.mode == "ramp"
+
+
+def test_passing_failures_are_retried():
+    from docflow.sources.retry import with_retry
+
+    waits, left = [], [TimeoutError(), ConnectionError()]
+    assert with_retry(lambda: left and (_ for _ in ()).throw(left.pop()) or "done", sleep=waits.append) == "done" and waits == [2.0, 4.0]
+
+    def bad(kind, calls):
+        calls.append(1)
+        raise kind
+
+    for kind, tries in ((ValueError, 1), (TimeoutError, 4)):
+        calls = []
+        with pytest.raises(kind):
+            with_retry(lambda: bad(kind, calls), sleep=waits.append)
+        assert len(calls) == tries
