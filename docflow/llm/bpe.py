@@ -269,7 +269,8 @@ def merges_codec(path: str, pattern: str) -> Codec:
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id, ids array<int>) for each row; of other columns none is carried, whatever their names.
 
-    A null or empty text has no ids. Repeated rows stay repeated. A text of any length is encoded whole.
+    A null or empty text has no ids. Repeated rows stay repeated, a null id stays null and an empty table gives no rows. A
+    text of any length is encoded whole.
     """
     kind = df.schema[id_col].dataType.simpleString()
 
@@ -286,7 +287,10 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 
 
 def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Returns (id, ids, decoded binary) for each row. Null ids give no bytes, as do nulls among them and ids outside the vocabulary."""
+    """Returns (id, ids, decoded binary) for each row. Null ids give no bytes, as do nulls among them and ids outside the vocabulary.
+
+    Repeated rows stay repeated, whatever their length; an empty table gives no rows.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):

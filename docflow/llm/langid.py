@@ -113,7 +113,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """Returns (id, lang_pred, score) and the columns of keep for each row, from the whole text alone; other columns are not carried.
 
     A text that is null or has no letter is 'und' with score 0, as is every text if the model has no language.
-    Equal scores go to the language that is first in alphabetic order.
+    Equal scores go to the language that is first in alphabetic order. Texts are read whole, whatever their length;
+    repeated rows and null ids stay as they are; an empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     kept = keep or []

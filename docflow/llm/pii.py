@@ -75,6 +75,11 @@ def picked(docs: DataFrame, id_col: str, text_col: str, kept: list[str] | None =
     return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *[F.col(c).alias(f"_kept_{c}") for c in kept or []])
 
 
+def row_key(id_: Column, text: Column) -> Column:
+    """What a row is joined by: its id, or a hash of its text if it has none. Rows that share one may share their terms, for each finds only those in its own text."""
+    return F.coalesce(id_.cast("string"), F.concat(F.lit("text:"), F.xxhash64(F.coalesce(text, F.lit(""))).cast("string")))
+
+
 def small(df: DataFrame) -> DataFrame:
     """The table marked for broadcast if it is small; it is counted, so it should be cut from its lineage."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -128,8 +133,9 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def scan(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Returns (id, base, spans) and the columns of keep for each row; base and spans are arrays of (kind, start, end, match).
 
-    A null text counts as empty. Spans of different patterns may overlap; a term's span overlaps none of them. Rows with
-    a null id get no terms. Repeated rows stay repeated. Columns of the same names as those returned are replaced.
+    A null text counts as empty; texts are scanned whole, whatever their length. Spans of different patterns may overlap;
+    a term's span overlaps none of them. Rows with a null id are scanned like others. Repeated rows stay repeated; an
+    empty table gives no rows. Columns of the same names as those returned are replaced.
     """
     kept = keep or []
     found = with_base(picked(docs, id_col, text_col, kept))
@@ -137,9 +143,9 @@ def scan(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: st
     if terms.isEmpty():
         found = found.withColumn("_spans", F.col("_base"))
     else:
-        words = docs.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
-        of_doc = cut(words.join(small(terms), "term").groupBy("_id").agg(F.collect_set("term").alias("_terms")))
-        found = with_spans(found.join(small(of_doc), "_id", "left"), "_text", {"_words": ("term", TERM, F.col("_terms").isNotNull())})
+        words = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("_key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
+        of_doc = cut(words.join(small(terms), "term").groupBy("_key").agg(F.collect_set("term").alias("_terms")))
+        found = with_spans(found.withColumn("_key", row_key(F.col("_id"), F.col("_text"))).join(small(of_doc), "_key", "left"), "_text", {"_words": ("term", TERM, F.col("_terms").isNotNull())})
         extra = F.filter("_words", lambda s: F.array_contains(F.col("_terms"), F.lower(s["match"])) & ~overlaps(s, F.col("_base")))
         found = found.withColumn("_spans", F.concat("_base", F.when(F.col("_terms").isNotNull(), extra).otherwise(no_spans())))
     return found.select(F.col("_id").alias(id_col), *[F.col(f"_kept_{c}").alias(c) for c in kept], ordered(F.col("_base"), KINDS, True).alias("base"), ordered(F.col("_spans"), KINDS, True).alias("spans"))

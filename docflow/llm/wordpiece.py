@@ -107,8 +107,8 @@ def rank_file_automaton(path: str) -> Automaton:
 def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id, n_words, n_tokens) for each row; words are what stands between ASCII white space.
 
-    A null or empty text counts 0. Repeated rows stay repeated; other columns are not carried. An unknown word
-    counts as one token.
+    A null or empty text counts 0. Texts are read whole, whatever their length. Repeated rows stay repeated, a null id
+    stays null, an empty table gives no rows; other columns are not carried. An unknown word counts as one token.
     """
     kind = df.schema[id_col].dataType.simpleString()
 

@@ -380,3 +380,63 @@ def test_all_pairs_are_compared_if_no_try_is_good_enough(spark, monkeypatch):
     monkeypatch.setattr(vecdedup, "MOST_ROWS", 50)
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vecdedup.near_duplicates(vectors(spark, [(i, [float(a) for a in v]) for i, v in enumerate(x)])).collect()}
     assert got == plain_links({i: v.astype(float) for i, v in enumerate(x)})
+
+
+def test_rows_without_an_id_keep_their_terms(spark):
+    terms = spark.createDataFrame([("quixotte",)], "term string")
+    df = spark.createDataFrame([(None, "ask quixotte now"), (None, "nothing here"), (None, None), (1, "ask quixotte"), (1, "quixotte asks"), (None, "ask quixotte now")], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["spans"]) for r in pii.digest(pii.scan(df, terms)).collect())
+    assert got == [(0, ""), (0, ""), (0, "term:4:12"), (0, "term:4:12"), (1, "term:0:8"), (1, "term:4:12")]
+
+
+def plain_revealing(texts):
+    """The terms by counting in plain loops."""
+    import regex
+
+    found = lambda t: set(regex.findall(pii.TERM, t))
+    contexts = {}
+    for t in texts:
+        for span in plain_pii(t).split(",") if plain_pii(t) else []:
+            kind, a, b = span.split(":")
+            a, b = int(a), int(b)
+            near = t[max(0, a - pii.CONTEXT) : b + pii.CONTEXT].lower().replace(t[a:b].lower(), " ")
+            key = (t[max(0, a - pii.KEY) : a], t[b : b + pii.KEY])
+            for term in found(near) | {None}:
+                contexts.setdefault((kind, t[a:b].lower()), {}).setdefault(term, set()).add(key)
+    n = len(set(texts))
+    held_by = {}
+    for t in set(texts):
+        for term in found(t.lower()):
+            held_by[term] = held_by.get(term, 0) + 1
+    out = {}
+    for (kind, _), terms in contexts.items():
+        n_e = len(set().union(*terms.values()))
+        for term, keys in terms.items():
+            if term not in held_by or len(keys) < pii.SUPPORT or n_e >= n:  # a word cut by the window's end may be none of any text
+                continue
+            share = math.log(len(keys) * n / (max(held_by[term], len(keys)) * n_e)) / math.log(n / n_e)
+            if share >= pii.DISCLOSURE:
+                out[term] = max(out.get(term, (0, "")), (share, kind))
+    return {term: kind for term, (_, kind) in out.items()}
+
+
+def test_revealing_terms_equal_plain_counts(spark):
+    import random
+
+    rng = random.Random(9)
+    common = ["river", "garden", "winter", "letter", "machine", "window", "harbour", "market"]
+    people = [(f"person{chr(97 + i)}", f"p{i}@example.org" if i % 2 else f"10.0.0.{i}") for i in range(8)]
+    texts = []
+    for i in range(260):
+        words = [rng.choice(common) + rng.choice("abcdefgh") for _ in range(rng.randint(3, 25))]
+        if rng.random() < 0.3:
+            name, address = people[int(len(people) * rng.random() ** 2)]
+            at = rng.randint(0, len(words))
+            words[at:at] = [name, address] if rng.random() < 0.8 else [address]
+        if rng.random() < 0.05:
+            words.append(rng.choice(people)[0])
+        texts.append(" ".join(words))
+    texts += texts[:40]
+    want = plain_revealing(texts)
+    got = {r["term"]: r["kind"] for r in pii.revealing_terms(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want and len(want) >= 3
