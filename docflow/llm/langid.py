@@ -23,6 +23,8 @@ FIT_DOCS, KEPT_WORDS, KEPT_GRAMS = 1_500, 20_000, 6_000
 #: A language without a word or n-gram that another has gets this log10 frequency.
 ABSENT = -7.0
 CACHE_WORDS = 200_000
+#: Text that is split into words in one go, in bytes: its words as Python strings take many times that.
+SPLIT_BYTES = 512 << 10
 #: Words whose evidence the score counts at most; beyond, words of a text are too dependent.
 EVIDENCE = 20
 
@@ -118,6 +120,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     kind = docs.schema[id_col].dataType.simpleString()
     kept = keep or []
+    sent = ["id", "text", *[f"kept_{c}" for c in kept if c != text_col]]
+    back = [sent.index("text" if c == text_col else f"kept_{c}") for c in kept]  # a kept text is the one that is read, not a second copy
     names = ["id", "lang_pred", "score", *[f"kept_{c}" for c in kept]]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the kept words and n-grams
 
@@ -127,7 +131,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         index: dict[str, int] = {}
         matrix = np.zeros((CACHE_WORDS + 1, width))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SPLIT_BYTES):
                 split = [words(t) if t else [] for t in part.column(1).to_pylist()]
                 seen = set().union(*split) if width else set()
                 if len(index) + len(seen) > CACHE_WORDS:
@@ -147,8 +151,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                         lang, score = model.decide(matrix[list(map(index.__getitem__, found))].mean(0), len(found))
                         langs.append(lang)
                         scores.append(score)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *part.columns[2:]], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *[part.column(i) for i in back]], names=names)
 
-    picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"kept_{c}") for c in kept])
+    picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"kept_{c}") for c in kept if c != text_col])
     out = picked.mapInArrow(run, f"id {kind}, lang_pred string, score double" + "".join(f", `kept_{c}` {docs.schema[c].dataType.simpleString()}" for c in kept))
     return out.select(F.col("id").alias(id_col), "lang_pred", "score", *[F.col(f"kept_{c}").alias(c) for c in kept])

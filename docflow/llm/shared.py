@@ -25,7 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
-    """Cuts a batch into runs of rows whose texts have about `limit` bytes together; a longer text stands alone."""
+    """Cuts a batch into runs of rows whose texts have about `limit` bytes together; a longer text stands alone.
+
+    Memory of earlier batches that Arrow keeps for later ones goes back first: workers live on from stage to stage.
+    """
+    pa.default_memory_pool().release_unused()
     texts = batch.column(batch.schema.get_field_index(column))
     sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     begin = total = 0

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, extract, langid, packing, pii, secretscan, simhash, topk, vecdedup, wordpiece
+from docflow.llm import bpe, extract, langid, packing, pii, secretscan, shared, simhash, topk, vecdedup, wordpiece
 
 MULTI, BYTES = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
 LONG = "word " * 30_000
@@ -440,3 +440,26 @@ def test_revealing_terms_equal_plain_counts(spark):
     want = plain_revealing(texts)
     got = {r["term"]: r["kind"] for r in pii.revealing_terms(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == want and len(want) >= 3
+
+
+def test_a_kept_text_goes_to_the_workers_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "der Hund", "s"), (2, None, "t"), (None, "the dog", None)], "doc_id long, text string, source string")
+    sent, real = [], type(docs).mapInArrow
+
+    def spy(df, *args, **how):
+        sent.append(df.columns)
+        return real(df, *args, **how)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", spy)
+    m = langid.Model([("de", 0, "der", 2), ("en", 0, "the", 2)])
+    got = langid.predict(docs, m, keep=["source", "text"])
+    assert sent == [["id", "text", "kept_source"]]
+    assert got.columns == ["doc_id", "lang_pred", "score", "source", "text"]
+    assert {(r["doc_id"], r["lang_pred"], r["source"], r["text"]) for r in got.collect()} == {(1, "de", "s", "der Hund"), (2, "und", "t", None), (None, "en", None, "the dog")}
+
+
+def test_slices_give_back_unused_memory_first(monkeypatch):
+    given, pool = [], shared.pa.default_memory_pool()
+    monkeypatch.setattr(shared.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append(pool.release_unused())})())
+    batch = shared.pa.RecordBatch.from_pydict({"text": ["ab", None, "cdef", "g"]})
+    assert [x.column(0).to_pylist() for x in shared.slices(batch, "text", 4)] == [["ab", None], ["cdef"], ["g"]] and len(given) == 1
