@@ -39,32 +39,63 @@ def sampled_missing(source: DataFrame, target: DataFrame, sample: int) -> DataFr
     return source.select("id").distinct().orderBy("id").limit(sample).join(target.select("id"), "id", "left_anti")
 
 
+def digest(text: Column) -> Column:
+    """32 bytes that stand for a text: its SHA-256; a text of fewer bytes stands for itself."""
+    own = text.cast("binary")
+    return F.when(F.octet_length(own) < 32, own).otherwise(F.unhex(F.sha2(own, 256)))
+
+
+def source_digests(source: DataFrame, text_key: str = "text", text_fields: tuple[str, ...] = ("text",), rename: dict[str, str] | None = None, drop: tuple[str, ...] = (), canonical_of=canonical) -> DataFrame:
+    """The metadata map replaced by text_digest, names and digests: of the text, and of what is compared besides in the map's order, under new names."""
+
+    def compared(key: Column, _: Column) -> Column:
+        name = renamed(key, rename or {})
+        skip = (key == text_key) | name.isin(*text_fields)
+        if drop:
+            skip = skip | name.isin(*drop) | key.isin(*drop)
+        return ~skip
+
+    kept = F.map_filter("metadata", compared)
+    names = F.transform(F.map_keys(kept), lambda k: renamed(k, rename or {}))
+    digests = F.transform(F.transform(F.map_values(kept), canonical_of), digest)
+    return source.select("*", digest(canonical_of(F.element_at("metadata", F.lit(text_key)))).alias("text_digest"), names.alias("names"), digests.alias("digests")).drop("metadata")
+
+
+def target_digests(target: DataFrame, text_fields: tuple[str, ...] = ("text",), drop: tuple[str, ...] = (), canonical_of=canonical) -> DataFrame:
+    """The text and the metadata map replaced by text_digest and by_name, a map of digests."""
+    text = F.concat(F.lit("s:"), F.col("text")) if canonical_of is canonical else F.col("text")
+    texts = F.transform_values(F.map_filter("metadata", lambda k, _: ~k.isin(*text_fields, *drop)), lambda _, v: canonical_of(v))
+    return target.select("*", digest(text).alias("text_digest"), F.transform_values(texts, lambda _, v: digest(v)).alias("by_name")).drop("text", "metadata")
+
+
+def compare_fields(source: DataFrame, target: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """(id, vector_differs, text_differs, key) of all rows on both sides, from source_digests and target_digests; vectors are compared as they are."""
+    both = source.select("id", F.col("values").alias("sv"), F.col("text_digest").alias("sd"), "names", "digests").join(target.select("id", F.col("values").alias("tv"), F.col("text_digest").alias("td"), "by_name"), "id")
+    key = F.get(F.filter("names", lambda name, i: ~F.get("digests", i).eqNullSafe(F.element_at("by_name", name))), F.lit(0))
+    return both.select("id", (~vectors.all_close(F.col("sv"), F.col("tv"), tolerance)).alias("vector_differs"), (~F.col("sd").eqNullSafe(F.col("td"))).alias("text_differs"), key.alias("key"))
+
+
+def differing(compared: DataFrame) -> DataFrame:
+    return compared.where("vector_differs or text_differs or key is not null")
+
+
 def diff_fields(source: DataFrame, target: DataFrame, text_key: str = "text", text_fields: tuple[str, ...] = ("text",), rename: dict[str, str] | None = None, drop: tuple[str, ...] = (), tolerance: float = 1e-4, canonical_of=canonical) -> DataFrame:
     """(id, vector_differs, text_differs, key) of rows on both sides that differ.
 
     source: id, values, metadata map; target: id, values, text, metadata map. key is the first metadata name, in the
     source's order, whose value differs; the text, dropped names and declared text fields are not compared.
+    canonical_of gives a value's text. Only digests of texts and values meet, not they themselves.
     """
-    both = source.select("id", F.col("values").alias("sv"), F.col("metadata").alias("sm")).join(target.select("id", F.col("values").alias("tv"), F.col("text").alias("tt"), F.col("metadata").alias("tm")), "id")
-    text = F.element_at("sm", F.lit(text_key))
-
-    def differs(e: Column) -> Column:
-        name = renamed(e["key"], rename or {})
-        skip = (e["key"] == text_key) | name.isin(*text_fields)
-        if drop:
-            skip = skip | name.isin(*drop) | e["key"].isin(*drop)
-        return ~skip & ~canonical_of(e["value"]).eqNullSafe(canonical_of(F.element_at("tm", name)))
-
-    key = F.get(F.transform(F.filter(F.map_entries("sm"), differs), lambda e: renamed(e["key"], rename or {})), F.lit(0))
-    text_of = F.regexp_replace(canonical_of(text), "(?s)^s:", "")
-    found = both.select("id", (~vectors.all_close(F.col("sv"), F.col("tv"), tolerance)).alias("vector_differs"), (~text_of.eqNullSafe(F.col("tt"))).alias("text_differs"), key.alias("key"))
-    return found.where("vector_differs or text_differs or key is not null")
+    s = source_digests(source.select("id", "values", "metadata"), text_key, text_fields, rename, drop, canonical_of)
+    t = target_digests(target.select("id", "values", "text", "metadata"), text_fields, drop, canonical_of)
+    return differing(compare_fields(s, t, tolerance))
 
 
-def field_report(differences: DataFrame, checked: int) -> DataFrame:
+def field_report(differences: DataFrame, checked: int | None = None) -> DataFrame:
+    """One row: checked, vector_mismatches, text_mismatches, metadata_mismatches, ok. checked: how many were compared; by default as many as there are rows, for all that compare_fields gives."""
     n = lambda c: F.count_if(c)
-    out = differences.agg(n(F.col("vector_differs")).alias("vector_mismatches"), n(F.col("text_differs")).alias("text_mismatches"), n(F.col("key").isNotNull()).alias("metadata_mismatches"))
-    return out.select(F.lit(checked).cast("long").alias("checked"), "*", ((F.col("vector_mismatches") + F.col("text_mismatches") + F.col("metadata_mismatches")) == 0).alias("ok"))
+    out = differences.agg((F.count("*") if checked is None else F.lit(checked)).cast("long").alias("checked"), n(F.col("vector_differs")).alias("vector_mismatches"), n(F.col("text_differs")).alias("text_mismatches"), n(F.col("key").isNotNull()).alias("metadata_mismatches"))
+    return out.select("*", ((F.col("vector_mismatches") + F.col("text_mismatches") + F.col("metadata_mismatches")) == 0).alias("ok"))
 
 
 def verdict(source: DataFrame, target: DataFrame, differences: DataFrame, parked: DataFrame | None = None) -> DataFrame:

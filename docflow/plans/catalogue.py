@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions import text as T
@@ -33,12 +33,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 # The tables as records, documents and a change log.
 
 
+def metadata() -> Column:
+    return F.create_map(F.lit("text"), "text", F.lit("lang"), "lang", F.lit("source"), "source", F.lit("n_chars"), F.col("n_chars").cast("string"))
+
+
 def records(spark: SparkSession, d: str, with_vectors: str = "inner") -> DataFrame:
     """Documents with vectors of the same number, text and other columns as metadata of texts."""
     docs, e = table(spark, d, "documents"), table(spark, d, "embeddings")
     joined = docs.join(e, docs["doc_id"] == e["vec_id"], with_vectors)
-    meta = F.create_map(F.lit("text"), "text", F.lit("lang"), "lang", F.lit("source"), "source", F.lit("n_chars"), F.col("n_chars").cast("string"))
-    return joined.select(F.col("doc_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("values"), meta.alias("metadata"), F.col("lang").alias("namespace"), "doc_id", "text", "label")
+    return joined.select(F.col("doc_id").cast("string").alias("id"), F.col("embedding").cast("array<double>").alias("values"), metadata().alias("metadata"), F.col("lang").alias("namespace"), "doc_id", "text", "label")
 
 
 def variants(df: DataFrame) -> DataFrame:
@@ -91,15 +94,25 @@ TARGET = RECORDS + """, tgt AS (
 COS = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
 
+def arrived(df: DataFrame) -> DataFrame:
+    """The rows that arrived elsewhere, some texts and metadata changed."""
+    meta = F.transform_values("metadata", lambda k, v: F.when((k == "lang") & (F.col("doc_id") % 11 == 0), "xx").otherwise(v))
+    return df.where("doc_id % 17 <> 0").withColumns({"text": F.when(F.col("doc_id") % 13 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), "metadata": meta})
+
+
+def drifted(df: DataFrame) -> DataFrame:
+    """Some vectors changed."""
+    return df.withColumn("values", F.when(F.col("doc_id") % 7 == 0, F.transform("values", lambda x: x + 0.01)).otherwise(F.col("values")))
+
+
+def orphans(df: DataFrame) -> DataFrame:
+    return df.where("doc_id % 50 = 1").withColumn("id", F.concat(F.lit("-"), "id"))
+
+
 def target(spark: SparkSession, d: str) -> DataFrame:
     """id, values, text, metadata: the records as they arrived elsewhere."""
-    r = records(spark, d)
-    meta = F.transform_values("metadata", lambda k, v: F.when((k == "lang") & (F.col("doc_id") % 11 == 0), "xx").otherwise(v))
-    changed = r.where("doc_id % 17 <> 0").select(
-        "id", F.when(F.col("doc_id") % 7 == 0, F.transform("values", lambda x: x + 0.01)).otherwise(F.col("values")).alias("values"),
-        F.when(F.col("doc_id") % 13 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), meta.alias("metadata"),
-    )
-    return changed.unionByName(r.where("doc_id % 50 = 1").select(F.concat(F.lit("-"), "id").alias("id"), "values", "text", "metadata"))
+    r = records(spark, d).select("id", "values", "text", "metadata", "doc_id")
+    return drifted(arrived(r)).unionByName(orphans(r)).drop("doc_id")
 
 
 def probe(spark: SparkSession, d: str, vec_id: int = 0) -> list[float]:
@@ -444,8 +457,27 @@ def ids_sample_missing(spark, d):
     return reconcile.sampled_missing(records(spark, d), target(spark, d), 80)
 
 
+def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The records, and they as they arrived elsewhere, with digests for texts and metadata.
+
+    Digests are taken before documents meet their vectors, so no text is dealt out. They meet by the id that the sides are
+    compared by, so records are dealt out once; always by merging, so that what is dealt out follows the input.
+    """
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "doc_id", "text", metadata().alias("metadata"))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "embedding")
+
+    def embedded(digests: DataFrame) -> DataFrame:
+        return digests.join(e.hint("merge"), "id").withColumn("values", F.col("embedding").cast("array<double>")).drop("embedding")
+
+    def digested(df: DataFrame) -> DataFrame:
+        return embedded(reconcile.target_digests(df, canonical_of=lambda v: v))
+
+    source = embedded(reconcile.source_digests(docs.drop("text"), canonical_of=lambda v: v))
+    return source, drifted(digested(arrived(docs))).unionByName(orphans(digested(docs)))
+
+
 def differences(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.diff_fields(records(spark, d), target(spark, d), canonical_of=lambda v: v)
+    return reconcile.differing(reconcile.compare_fields(*sides(spark, d)))
 
 
 @query(f"WITH {TARGET} SELECT r.id FROM rec r JOIN tgt t USING (id) WHERE r.doc_id % 7 = 0")
@@ -481,8 +513,7 @@ def reconcile_verdict_clean(spark, d):
 
 @query(f"WITH {TARGET}, r AS (SELECT rec.id, rec.doc_id FROM rec JOIN tgt USING (id)) SELECT count(*) AS checked, count(*) FILTER (doc_id % 7 = 0) AS vector_mismatches, count(*) FILTER (doc_id % 13 = 0) AS text_mismatches, count(*) FILTER (doc_id % 11 = 0) AS metadata_mismatches, count(*) FILTER (doc_id % 7 = 0 OR doc_id % 13 = 0 OR doc_id % 11 = 0) = 0 AS ok FROM r")
 def field_report(spark, d):
-    checked = records(spark, d).join(target(spark, d).select("id"), "id", "left_semi").count()
-    return reconcile.field_report(differences(spark, d), checked)
+    return reconcile.field_report(reconcile.compare_fields(*sides(spark, d)))
 
 
 @query(f"WITH {TARGET}, {verdict_sql('tgt')}")
