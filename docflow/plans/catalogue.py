@@ -457,8 +457,8 @@ def ids_sample_missing(spark, d):
     return reconcile.sampled_missing(records(spark, d), target(spark, d), 80)
 
 
-def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The records, and they as they arrived elsewhere, with digests for texts and metadata.
+def sides(spark: SparkSession, d: str, clean: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The records, and they as they arrived elsewhere (clean: unchanged), with digests for texts and metadata.
 
     Digests are taken before documents meet their vectors, so no text is dealt out. They meet by the id that the sides are
     compared by, so records are dealt out once; always by merging, so that what is dealt out follows the input.
@@ -473,7 +473,7 @@ def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         return embedded(reconcile.target_digests(df, canonical_of=lambda v: v))
 
     source = embedded(reconcile.source_digests(docs.drop("text"), canonical_of=lambda v: v))
-    return source, drifted(digested(arrived(docs))).unionByName(orphans(digested(docs)))
+    return source, digested(docs) if clean else drifted(digested(arrived(docs))).unionByName(orphans(digested(docs)))
 
 
 def differences(spark: SparkSession, d: str) -> DataFrame:
@@ -506,9 +506,8 @@ def verdict_sql(target: str) -> str:
 
 @query(f"WITH {TARGET}, {verdict_sql('rec')}")
 def reconcile_verdict_clean(spark, d):
-    r = records(spark, d)
-    same = r.select("id", "values", "text", "metadata")
-    return reconcile.verdict(r, same, reconcile.diff_fields(r, same, canonical_of=lambda v: v))
+    source, same = sides(spark, d, clean=True)
+    return reconcile.verdict(source, same, reconcile.differing(reconcile.compare_fields(source, same)))
 
 
 @query(f"WITH {TARGET}, r AS (SELECT rec.id, rec.doc_id FROM rec JOIN tgt USING (id)) SELECT count(*) AS checked, count(*) FILTER (doc_id % 7 = 0) AS vector_mismatches, count(*) FILTER (doc_id % 13 = 0) AS text_mismatches, count(*) FILTER (doc_id % 11 = 0) AS metadata_mismatches, count(*) FILTER (doc_id % 7 = 0 OR doc_id % 13 = 0 OR doc_id % 11 = 0) = 0 AS ok FROM r")
@@ -518,7 +517,8 @@ def field_report(spark, d):
 
 @query(f"WITH {TARGET}, {verdict_sql('tgt')}")
 def reconcile_verdict(spark, d):
-    return reconcile.verdict(records(spark, d), target(spark, d), differences(spark, d))
+    source, arrived_there = sides(spark, d)
+    return reconcile.verdict(source, arrived_there, reconcile.differing(reconcile.compare_fields(source, arrived_there)))
 
 
 # Search.
