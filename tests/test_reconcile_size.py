@@ -25,24 +25,24 @@ def tables(spark, tmp_path_factory):
     return d
 
 
-def dealt_out(spark) -> int:
-    """Bytes of shuffles so far."""
+def shuffled(spark) -> dict[int, int]:
+    """Bytes that each stage wrote for shuffles; Spark forgets early stages in time."""
     sc = spark.sparkContext
     sc._jsc.sc().listenerBus().waitUntilEmpty()
     j = sc._jvm
     stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(j.double, 0), j.java.util.ArrayList())
-    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+    return {x.stageId(): x.shuffleWriteBytes() for x in (stages.apply(i) for i in range(stages.size()))}
 
 
 def run(spark, d, name, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        before = dealt_out(spark)
+        last = max(shuffled(spark), default=-1)
         df = catalogue.QUERIES[name](spark, d)
         columns = sorted(df.columns)
         rows = sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
-        return rows, dealt_out(spark) - before
+        return rows, sum(n for stage, n in shuffled(spark).items() if stage > last)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
